@@ -1,0 +1 @@
+"""The panel is loaded by full replacement; there is no streaming operator to offer."""

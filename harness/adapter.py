@@ -10,9 +10,11 @@ import tempfile
 import uuid
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from countypanel import schemas
+from countypanel.operators.reshape import resolve_aliases, union_all
 from countypanel.plans import conform, raw, star
 from countypanel.sources import reference_data
 from countypanel.sources.tables import empty_table
@@ -43,18 +45,19 @@ def scratch(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="countypanel-")
 
 
-def text_of(c: Column) -> Column:
-    return c.cast("string")
-
-
 class TestTables:
-    """The test tables of one scale and everything derived from them; all frames are lazy."""
+    """The test tables of one scale and everything derived from them.
+
+    All frames are lazy, except that ``written`` stores the county-year counts once. Queries that use
+    several sources then read the test tables once instead of once per source.
+    """
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, written: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.written = written
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -62,145 +65,125 @@ class TestTables:
     @cached_property
     def customer_years(self) -> DataFrame:
         """Order counts per customer and year; a customer with very many orders becomes a few rows here."""
-
-        def orders_with(condition: Column) -> Column:
-            return F.count_if(condition)
-
-        status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-        year = (F.year("o_orderdate") + YEAR_SHIFT).cast("long")
+        counts = {
+            "n_all": "true",
+            "n_f": "o_orderstatus = 'F'",
+            "n_p": "o_orderstatus = 'P'",
+            "n_p_low": "o_orderstatus = 'P' and o_orderpriority = '5-LOW'",
+            "n_urgent": "o_orderpriority = '1-URGENT'",
+            "n_high": "o_orderpriority = '2-HIGH'",
+            "n_medium": "o_orderpriority = '3-MEDIUM'",
+        }
+        year = F.expr(f"cast(year(o_orderdate) + {YEAR_SHIFT} as bigint) as year")
         return (
             self.table("orders")
-            .groupBy("o_custkey", year.alias("year"))
-            .agg(
-                F.count(F.lit(1)).alias("n_all"),
-                orders_with(status == "F").alias("n_f"),
-                orders_with(status == "P").alias("n_p"),
-                orders_with((status == "P") & (priority == "5-LOW")).alias("n_p_low"),
-                orders_with(priority == "1-URGENT").alias("n_urgent"),
-                orders_with(priority == "2-HIGH").alias("n_high"),
-                orders_with(priority == "3-MEDIUM").alias("n_medium"),
-            )
+            .groupBy("o_custkey", year)
+            .agg(*[F.expr(f"count_if({condition}) as {name}") for name, condition in counts.items()])
         )
 
     @cached_property
     def places(self) -> DataFrame:
         """State and county code of every customer."""
-        return self.table("customer").select(
+        return self.table("customer").selectExpr(
             "c_custkey",
-            F.lpad(text_of(F.col("c_nationkey") + 1), 2, "0").alias("st"),
-            F.lpad(text_of(F.col("c_custkey") % 20), 3, "0").alias("co"),
+            "lpad(cast(c_nationkey + 1 as string), 2, '0') as st",
+            "lpad(cast(c_custkey % 20 as string), 3, '0') as co",
         )
 
     @cached_property
     def counts(self) -> DataFrame:
         """Order counts per state, county and year, with the number of customers who ordered."""
-        joined = self.customer_years.join(self.places, F.col("o_custkey") == F.col("c_custkey"))
-        sums = [F.sum(c).alias(c) for c in self.customer_years.columns if c.startswith("n_")]
-        return joined.groupBy("st", "co", "year").agg(F.count(F.lit(1)).alias("customers"), *sums)
+        joined = self.customer_years.join(self.places, F.expr("o_custkey = c_custkey"))
+        sums = [F.expr(f"sum({c}) as {c}") for c in self.customer_years.columns if c.startswith("n_")]
+        counts = joined.groupBy("st", "co", "year").agg(F.expr("count(1) as customers"), *sums)
+        if not self.written:
+            return counts
+        folder = scratch(self.spark)
+        counts.write.parquet(folder)
+        return self.spark.read.schema(counts.schema).parquet(folder)
 
     # --- landed shapes -----------------------------------------------------------------------------
 
     @cached_property
     def sahie_payload(self) -> DataFrame:
         """Insurance rows as the service sends them: all text, small counties suppressed."""
-        shown = F.col("n_all") >= 3
-
-        def value(c: Column) -> Column:
-            return F.when(shown, text_of(c)).otherwise("N/A")
-
-        fips = F.concat("st", "co")
-        return self.counts.select(
-            F.ltrim(fips, F.lit("0")).alias("GEOID"),
-            F.concat(F.lit("County "), fips).alias("NAME"),
-            value(F.floor(F.col("n_f") * 100 / F.col("n_all"))).alias("PCTUI_PT"),
-            value(F.col("n_f")).alias("NUI_PT"),
-            value(F.col("n_all") - F.col("n_f")).alias("NIC_PT"),
-            text_of(F.col("year")).alias("time"),
-            F.lit("0").alias("AGECAT"),
-            F.lit("0").alias("SEXCAT"),
-            F.lit("0").alias("IPRCAT"),
-            F.col("st").alias("state"),
-            F.col("co").alias("county"),
+        return self.counts.selectExpr(
+            "ltrim('0', st || co) as GEOID",
+            "'County ' || st || co as NAME",
+            "if(n_all >= 3, cast(n_f * 100 div n_all as string), 'N/A') as PCTUI_PT",
+            "if(n_all >= 3, cast(n_f as string), 'N/A') as NUI_PT",
+            "if(n_all >= 3, cast(n_all - n_f as string), 'N/A') as NIC_PT",
+            "cast(year as string) as time",
+            "'0' as AGECAT",
+            "'0' as SEXCAT",
+            "'0' as IPRCAT",
+            "st as state",
+            "co as county",
             "year",
         )
 
     @cached_property
     def sahie_categories(self) -> DataFrame:
         """Insurance rows of three age categories, of which only the first stands for everybody."""
-        age = F.explode(F.array(*[F.lit(a) for a in "012"]))
-        return self.sahie_payload.withColumn("AGECAT", age)
+        return self.sahie_payload.withColumn("AGECAT", F.expr("explode(array('0', '1', '2'))"))
 
     @cached_property
     def acs_payload(self) -> DataFrame:
-        co = F.col("co").cast("long")
-        income = F.when(co % 7 == 0, F.lit(-666666666)).otherwise(30000 + 1000 * co + (F.col("year") - 2016))
-        return self.counts.select(
-            F.concat(F.lit("County "), "st", "co").alias("NAME"),
-            text_of(income).alias("B19013_001E"),
-            text_of(F.col("n_urgent")).alias("B17001_002E"),
-            text_of(F.col("n_all")).alias("B17001_001E"),
-            text_of(F.col("n_all")).alias("B15003_001E"),
-            text_of(F.col("n_high")).alias("B15003_017E"),
-            text_of(F.col("n_medium")).alias("B15003_022E"),
-            text_of(F.col("n_p")).alias("B25070_001E"),
-            text_of(F.col("n_p_low")).alias("B25070_010E"),
-            F.col("st").alias("state"),
-            F.col("co").alias("county"),
+        return self.counts.selectExpr(
+            "'County ' || st || co as NAME",
+            "cast(if(cast(co as int) % 7 = 0, -666666666, 30000 + 1000 * cast(co as int) + (year - 2016))"
+            " as string) as B19013_001E",
+            "cast(n_urgent as string) as B17001_002E",
+            "cast(n_all as string) as B17001_001E",
+            "cast(n_all as string) as B15003_001E",
+            "cast(n_high as string) as B15003_017E",
+            "cast(n_medium as string) as B15003_022E",
+            "cast(n_p as string) as B25070_001E",
+            "cast(n_p_low as string) as B25070_010E",
+            "st as state",
+            "co as county",
             "year",
         )
 
     @cached_property
     def bls_series(self) -> DataFrame:
         """Series per place and measure; 05 is a measure nobody asked for."""
-        measure = F.explode(F.array(*[F.lit(m) for m in ("03", "04", "05", "06")]))
-        places = self.places.select("st", "co").distinct().select("*", measure.alias("measure_code"))
-        return places.select(
-            F.concat(F.lit("LAUCN"), "st", "co", "measure_code").alias("series_id"),
-            F.when(F.col("co") == "000", "A").otherwise("F").alias("area_type_code"),
-            F.concat(F.lit("CN"), "st", "co", F.lit("00000000")).alias("area_code"),
+        places = self.places.select("st", "co").distinct()
+        listed = places.selectExpr("*", "explode(array('03', '04', '05', '06')) as measure_code")
+        return listed.selectExpr(
+            "'LAUCN' || st || co || measure_code as series_id",
+            "if(co = '000', 'A', 'F') as area_type_code",
+            "'CN' || st || co || '00000000' as area_code",
             "measure_code",
         )
 
     @cached_property
     def bls_data(self) -> DataFrame:
         """Observations: an annual average and one month per series and year."""
-        rate = F.floor(F.col("n_f") * 100 / F.col("n_all"))
-        observed = {"03": rate, "04": F.col("n_f"), "05": F.col("n_p"), "06": F.col("n_all")}
-        rows = F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(measure).alias("measure"),
-                        F.lit(period).alias("period"),
-                        text_of(value.cast("long") + extra).alias("value"),
-                    )
-                    for measure, value in observed.items()
-                    for period, extra in (("M13", 0), ("M01", 7))
-                ]
-            )
-        )
-        return self.counts.select("st", "co", "year", rows.alias("r")).select(
-            F.concat(F.lit("LAUCN"), "st", "co", "r.measure").alias("series_id"),
-            text_of(F.col("year")).alias("year"),
-            F.col("r.period").alias("period"),
-            F.col("r.value").alias("value"),
+        observed = {"03": "n_f * 100 div n_all", "04": "n_f", "05": "n_p", "06": "n_all"}
+        rows = [
+            f"struct('{measure}' as measure, '{period}' as period, cast({value} + {extra} as string) as value)"
+            for measure, value in observed.items()
+            for period, extra in (("M13", 0), ("M01", 7))
+        ]
+        return self.counts.selectExpr("st", "co", "year", f"inline(array({', '.join(rows)}))").selectExpr(
+            "'LAUCN' || st || co || measure as series_id", "cast(year as string) as year", "period", "value"
         )
 
     @cached_property
     def ahrq_values(self) -> DataFrame:
         """Health measures of even states up to 2020, as text."""
-        co = F.col("co").cast("long")
-        return self.counts.filter((F.col("st").cast("int") % 2 == 0) & (F.col("year") <= 2020)).select(
-            F.concat("st", "co").alias("county_fips"),
-            F.col("year").cast("int").alias("file_year"),
-            F.concat(text_of(F.col("year")), F.lit(".0")).alias("year"),
-            text_of(F.col("customers") * 1000).alias("total_population"),
-            text_of(F.col("n_all") - F.col("n_f")).alias("total_mds"),
-            text_of(1 + co % 10).alias("rucc"),
-            text_of(co % 3).alias("hpsa"),
-            text_of(5 * co).alias("dist_trauma"),
-            text_of(3 * co).alias("dist_obstetrics"),
-            text_of(F.col("n_f")).alias("pct_uninsured"),
+        return self.counts.filter("cast(st as int) % 2 = 0 and year <= 2020").selectExpr(
+            "st || co as county_fips",
+            "cast(year as int) as file_year",
+            "year || '.0' as year",
+            "cast(customers * 1000 as string) as total_population",
+            "cast(n_all - n_f as string) as total_mds",
+            "cast(1 + cast(co as int) % 10 as string) as rucc",
+            "cast(cast(co as int) % 3 as string) as hpsa",
+            "cast(5 * cast(co as int) as string) as dist_trauma",
+            "cast(3 * cast(co as int) as string) as dist_obstetrics",
+            "cast(n_f as string) as pct_uninsured",
         )
 
     def ahrq_layouts(self) -> list[DataFrame]:
@@ -208,7 +191,7 @@ class TestTables:
         old = self.ahrq_values.filter(F.col("file_year") < AHRQ_NEW_FROM)
         new = self.ahrq_values.filter(F.col("file_year") >= AHRQ_NEW_FROM)
         return [
-            df.select("file_year", *[F.col(c).alias(name) for name, c in columns.items()])
+            df.selectExpr("file_year", *[f"{c} as {name}" for name, c in columns.items()])
             for df, columns in ((old, AHRQ_COLUMNS_OLD), (new, AHRQ_COLUMNS_NEW))
         ]
 
@@ -228,8 +211,6 @@ class TestTables:
 
     @cached_property
     def ahrq_raw(self) -> DataFrame:
-        from countypanel.operators.reshape import resolve_aliases, union_all
-
         layouts = [resolve_aliases(df.drop("file_year"), raw.AHRQ_ALIASES) for df in self.ahrq_layouts()]
         return raw.ahrq_raw(union_all(layouts))
 
@@ -275,7 +256,5 @@ class TestTables:
 
     @cached_property
     def fact_without_ahrq(self) -> DataFrame:
-        from countypanel import schemas
-
         missing = conform.stg_ahrq(empty_table(self.spark, schemas.RAW_AHRQ))
         return star.fact(self.stg_sahie, self.stg_bls, self.stg_acs, missing)

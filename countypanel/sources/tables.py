@@ -20,6 +20,17 @@ def table_name(name: str, layer: str | None = None) -> str:
     return f"{layer_name(layer)}.{name}"
 
 
+def _counted(df: DataFrame, partition_by: tuple[str, ...]) -> tuple[DataFrame, Observation]:
+    """The rows to write, counted on the way.
+
+    A partitioned write is rebalanced first: small partitions end up in one file each, and a partition
+    that holds much of the table is split over several tasks.
+    """
+    spread = df.hint("rebalance", *partition_by) if partition_by else df
+    written = Observation()
+    return spread.observe(written, F.count(F.lit(1)).alias("n_rows")), written
+
+
 def replace_table(
     df: DataFrame, name: str, layer: str | None = None, partition_by: tuple[str, ...] = ()
 ) -> int:
@@ -32,18 +43,28 @@ def replace_table(
     loading = target + "__loading"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer_name(layer)}")
     spark.sql(f"DROP TABLE IF EXISTS {loading}")
-    written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("n_rows"))
+    counted, written = _counted(df, partition_by)
     counted.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(loading)
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"ALTER TABLE {loading} RENAME TO {target}")
+    if partition_by:
+        _move_partitions(spark, target)
     return written.get["n_rows"]
 
 
+def _move_partitions(spark: SparkSession, table: str) -> None:
+    """Point the partitions below the renamed table; not every catalog does so while renaming."""
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Location'")
+    location = described.first()["data_type"]
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        folder = row["partition"]
+        values = ", ".join("{}='{}'".format(*part.split("=", 1)) for part in folder.split("/"))
+        spark.sql(f"ALTER TABLE {table} PARTITION ({values}) SET LOCATION '{location}/{folder}'")
+
+
 def write_files(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
     """Replace a Parquet folder and return its number of rows."""
-    written = Observation()
-    counted = df.observe(written, F.count(F.lit(1)).alias("n_rows"))
+    counted, written = _counted(df, partition_by)
     counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return written.get["n_rows"]
 

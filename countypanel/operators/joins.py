@@ -59,8 +59,11 @@ def fan_out_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> Dat
     """Left join that keeps every copy when ``right`` repeats a key.
 
     The main branch joins ``right`` reduced to one row per key, which collapses repeats before the
-    shuffle. Only left rows whose key does repeat meet the unreduced rows; those left rows are few, so
-    that join broadcasts them and the repeats stay spread over the tasks that read them.
+    shuffle. Left rows whose key does repeat meet the unreduced rows in a branch of their own. They are
+    rebalanced first, which tells Spark their true size: a panel's worth of them is broadcast, so the
+    repeats stay spread over the tasks that read them; more of them are shuffled as the direct input of
+    the join, where AQE can split a hot key on either side. Without repeats the branch is empty and
+    dropped at run time.
     """
     extra = [c for c in right.columns if c not in keys]
     one_each = right.groupBy(*keys).agg(
@@ -68,5 +71,6 @@ def fan_out_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> Dat
     )
     reduced = left.join(one_each, keys, "left")
     single = reduced.filter(F.coalesce(F.col("_copies"), F.lit(1)) == 1).drop("_copies")
-    repeated = reduced.filter(F.col("_copies") > 1).select(*left.columns).join(right, keys, "inner")
+    repeated = reduced.filter(F.col("_copies") > 1).select(*left.columns).hint("rebalance")
+    repeated = repeated.join(right, keys, "inner")
     return single.unionByName(repeated.select(*single.columns))

@@ -16,7 +16,7 @@ from countypanel.sources.delimited import read_padded_tsv
 from countypanel.sources.json_matrix import read_row_lines
 from countypanel.sources.tables import replace_table, table_name, table_or_empty
 
-Loader = Callable[[SparkSession], DataFrame]
+Loader = Callable[[SparkSession], DataFrame | None]
 PayloadReader = Callable[[SparkSession, str, Sequence[str], Sequence[int]], DataFrame]
 
 RAW_TABLES = {
@@ -38,7 +38,7 @@ def file_loaders(landing: str, payloads: PayloadReader = read_row_lines) -> dict
             read_padded_tsv(s, f"{landing}/bls/la.data.64.County"),
         ),
         "acs": lambda s: raw.acs_raw(payloads(s, f"{landing}/acs", raw.ACS_COLUMNS, raw.ACS_YEARS)),
-        "ahrq": lambda s: raw.load_ahrq(s, f"{landing}/ahrq/*"),
+        "ahrq": lambda s: raw.load_ahrq(s, f"{landing}/ahrq"),
     }
 
 
@@ -66,7 +66,10 @@ def load_sources(
     only: Sequence[str] | None = None,
     skip: Sequence[str] = (),
 ) -> LoadReport:
-    """Replace the raw table of every chosen source; one failing source does not stop the others."""
+    """Replace the raw table of every chosen source; one failing source does not stop the others.
+
+    A loader that finds nothing to load returns None, and the table stays as it is.
+    """
     report = LoadReport()
     for key, (name, schema) in RAW_TABLES.items():
         if only is not None and key not in only:
@@ -75,8 +78,11 @@ def load_sources(
             report.skipped.append(key)
             continue
         try:
-            df = schemas.assert_schema(loaders[key](spark), schema, name)
-            report.rows[key] = replace_table(df, name, "raw")
+            df = loaders[key](spark)
+            if df is None:
+                report.skipped.append(key)
+                continue
+            report.rows[key] = replace_table(schemas.assert_schema(df, schema, name), name, "raw")
         except Exception as error:
             report.errors[key] = error
     if report.errors:

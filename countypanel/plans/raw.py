@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countypanel import schemas
 from countypanel.functions.scalars import (
     area_county,
     area_state,
@@ -19,7 +19,6 @@ from countypanel.functions.scalars import (
 )
 from countypanel.operators.reshape import lower_names, pivot_measures
 from countypanel.sources.delimited import list_files, read_drifting_csv
-from countypanel.sources.tables import empty_table
 
 # Estimate years fetched per source.
 SAHIE_YEARS = list(range(2016, 2023))
@@ -164,8 +163,11 @@ def ahrq_raw(resolved: DataFrame) -> DataFrame:
     )
 
 
-def load_ahrq(spark: SparkSession, folder: str, skip_unreadable: bool = True) -> DataFrame:
-    """Every yearly file under a folder; no rows when none is usable."""
+def load_ahrq(spark: SparkSession, folder: str, skip_unreadable: bool = True) -> DataFrame | None:
+    """Every yearly file under a folder; None, with a warning, when none is usable."""
     files = list_files(spark, folder, AHRQ_FILES)
     resolved = read_drifting_csv(spark, files, AHRQ_ALIASES, skip_unreadable) if files else None
-    return empty_table(spark, schemas.RAW_AHRQ) if resolved is None else ahrq_raw(resolved)
+    if resolved is None:
+        warnings.warn(f"{folder}: no usable yearly health file")
+        return None
+    return ahrq_raw(resolved)

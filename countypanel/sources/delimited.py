@@ -7,6 +7,7 @@ import warnings
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from countypanel.operators.reshape import resolve_aliases, union_all
@@ -28,7 +29,12 @@ def read_padded_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
     """Data files under a folder or glob, sorted; ``pattern`` is searched for in the whole path."""
-    files = spark.read.text(path).inputFiles()
+    try:
+        files = spark.read.text(path).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = []
     return sorted(f for f in files if pattern is None or re.search(pattern, f, re.IGNORECASE))
 
 

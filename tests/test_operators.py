@@ -16,6 +16,16 @@ def test_fan_out_left_join_equals_left_join(spark):
     assert got.count() == 2 * 3 + 1 + 1
 
 
+def test_repeated_keys_are_joined_without_moving_the_repeats(spark):
+    left = spark.range(1000).selectExpr("cast(id as string) as k", "id as y", "id * 1.0D as a")
+    right = spark.range(90000).selectExpr("if(id % 3 = 0, '7', cast(id % 900 as string)) as k", "id as b")
+    right = right.withColumn("y", F.col("k").cast("long"))
+    df = joins.fan_out_left_join(left, right, KEYS)
+    assert len(df.collect()) == left.join(right, KEYS, "left").count()
+    final = plan(df).split("Initial Plan")[0]
+    assert "Inner, BuildLeft" in final and "SortMergeJoin" not in final.split("Union")[1].split("REBALANCE")[0]
+
+
 def test_fan_out_left_join_keeps_null_keys(spark):
     left = frame(spark, "k string, y long", (None, 1), ("a", None))
     right = frame(spark, "k string, y long, b double", (None, 1, 5.0), ("a", None, 6.0), ("a", None, 7.0))

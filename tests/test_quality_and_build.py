@@ -190,6 +190,15 @@ def test_a_failing_source_does_not_stop_the_others(spark, landing):
     assert set(caught.value.report.rows) == {"sahie", "acs", "ahrq"}
 
 
+def test_a_source_with_no_files_keeps_its_table(spark, landing, tmp_path):
+    from countypanel.plans import raw as raw_plans
+
+    build.load_sources(spark, build.file_loaders(landing), only=["ahrq"])
+    with pytest.warns(UserWarning, match="no usable"):
+        done = build.load_sources(spark, {"ahrq": lambda s: raw_plans.load_ahrq(s, str(tmp_path / "none"))}, only=["ahrq"])
+    assert done.skipped == ["ahrq"] and spark.table("raw.ahrq_clh").count() == 1
+
+
 def test_a_source_that_breaks_its_contract_is_refused(spark, landing):
     loaders = {"sahie": lambda s: s.range(3)}
     with pytest.raises(build.SourceLoadError, match="sahie_uninsured: missing geoid"):

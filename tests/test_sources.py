@@ -138,8 +138,13 @@ def test_unreadable_file_is_skipped_only_on_request(spark, tmp_path):
 def test_no_known_column_yields_nothing(spark, tmp_path):
     (tmp_path / "clh_2017_county.csv").write_text("a,b\n1,2\n")
     with pytest.warns(UserWarning, match="no known column"):
-        df = raw.load_ahrq(spark, str(tmp_path))
-    assert df.count() == 0 and df.schema.names == schemas.RAW_AHRQ.names
+        assert raw.load_ahrq(spark, str(tmp_path)) is None
+
+
+def test_no_files_yield_nothing(spark, tmp_path):
+    with pytest.warns(UserWarning, match="no usable"):
+        assert raw.load_ahrq(spark, str(tmp_path / "nowhere")) is None
+    assert delimited.list_files(spark, str(tmp_path / "nowhere")) == []
 
 
 def test_seed_types_are_pinned(spark, tmp_path):

@@ -172,8 +172,8 @@ class TestTables:
 
     @cached_property
     def ahrq_values(self) -> DataFrame:
-        """Health measures of even states up to 2020, as text."""
-        return self.counts.filter("cast(st as int) % 2 = 0 and year <= 2020").selectExpr(
+        """Health measures up to 2020, as text; places without an urgent order have none."""
+        return self.counts.filter("n_urgent > 0 and year <= 2020").selectExpr(
             "st || co as county_fips",
             "cast(year as int) as file_year",
             "year || '.0' as year",

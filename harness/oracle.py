@@ -131,7 +131,7 @@ RELATIONS = {
                CAST(CAST(co AS INT) % 3 AS DOUBLE) AS hpsa_primary_care,
                CAST(1 + CAST(co AS INT) % 10 AS DOUBLE) AS rural_urban_code_2013,
                CAST(NULL AS DOUBLE) AS rural_urban_code_2023
-        FROM counts WHERE CAST(st AS INT) % 2 = 0 AND year <= 2020""",
+        FROM counts WHERE n_urgent > 0 AND year <= 2020""",
     "stg_ahrq": f"""
         SELECT {KEY}, county_fips, year, pct_uninsured_under65, dist_trauma_center_miles, dist_obstetrics_miles,
                mds_rate_per_100k, total_mds, total_population, CAST(hpsa_primary_care AS BIGINT) AS hpsa_primary_care,
@@ -348,7 +348,7 @@ def _era_orders(shift: int, moved: int = 0, columns: str = "era_name, president"
         LEFT JOIN eras ON {year} BETWEEN start_year - {moved} AND end_year - {moved}"""
 
 
-_NEW_LAYOUT = f"FROM counts WHERE CAST(st AS INT) % 2 = 0 AND year BETWEEN 2019 AND 2020"
+_NEW_LAYOUT = "FROM counts WHERE n_urgent > 0 AND year BETWEEN 2019 AND 2020"
 _AHRQ_TEXT = {
     "county_fips": "st || co", "year": "year || '.0'", "total_population": "CAST(customers * 1000 AS VARCHAR)",
     "total_mds": "CAST(n_all - n_f AS VARCHAR)", "rucc": "CAST(1 + CAST(co AS INT) % 10 AS VARCHAR)",
@@ -378,7 +378,7 @@ def _union_by_name() -> str:
     return f"""
         SELECT {v['county_fips']} AS FIPSCODE, {common}, {v['uninsured']} AS ACS_PCT_UNINSURED,
                NULL AS COUNTYFIPS, NULL AS POS_MEDIAN_DIST_OBSTETRICS, NULL AS SAHIE_PCT_UNINSURED64
-        FROM counts WHERE CAST(st AS INT) % 2 = 0 AND year <= 2018
+        FROM counts WHERE n_urgent > 0 AND year <= 2018
         UNION ALL BY NAME
         SELECT {v['county_fips']} AS COUNTYFIPS, {common}, {v['total_mds']} AS ACS_PCT_UNINSURED,
                {v['obstetrics']} AS POS_MEDIAN_DIST_OBSTETRICS, {v['uninsured']} AS SAHIE_PCT_UNINSURED64 {_NEW_LAYOUT}"""
@@ -470,7 +470,7 @@ EXPECTED = {
     "semi_join_series": """
         SELECT * FROM bls_data WHERE series_id IN (
             SELECT series_id FROM bls_series WHERE area_type_code = 'F' AND measure_code <> '05')""",
-    "ratio_of_sums_by_state": """
+    "ratio_of_sums": """
         SELECT state_fips, year, sum(n_uninsured) / nullif(sum(sahie_total_population), 0) AS pct_uninsured
         FROM stg_sahie GROUP BY 1, 2""",
     "era_county_rates": f"""
@@ -496,7 +496,7 @@ EXPECTED = {
     "trend_by_both": _means("year, era_name, expansion_status", ", era_name || ' / ' || expansion_status AS \"group\""),
     "era_ordered": """
         SELECT year, era_name, round(avg(pct_uninsured) * 100, 6) AS pct_uninsured,
-               CASE era_name WHEN 'Trump1' THEN 1 WHEN 'Biden' THEN 2 ELSE 3 END AS era_order
+               CAST(CASE era_name WHEN 'Trump1' THEN 1 WHEN 'Biden' THEN 2 ELSE 3 END AS BIGINT) AS era_order
         FROM trends GROUP BY year, era_name""",
     "map_slice": """
         SELECT county_fips, county_name, state_abbr, pct_uninsured * 100 AS display_value, 'Trump1' AS era_label

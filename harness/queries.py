@@ -109,7 +109,7 @@ def src_multi_schema_union(t: TestTables) -> DataFrame:
 def sink_rowcount(t: TestTables) -> DataFrame:
     """Write the whole raw insurance table and report the rows counted on the way."""
     n_rows = tables.write_files(t.sahie_raw, scratch(t.spark), ("year",))
-    return t.spark.range(1).select(F.lit("sahie_uninsured").alias("table_name"), F.lit(n_rows).alias("n_rows"))
+    return t.spark.range(1).select(F.lit("sahie_uninsured").alias("table_name"), F.lit(n_rows).cast("long").alias("n_rows"))
 
 
 @query(written=True)
@@ -360,7 +360,7 @@ def semi_join_series(t: TestTables) -> DataFrame:
 # --- aggregates and windows ------------------------------------------------------------------------
 
 
-@query()
+@query(name="ratio_of_sums")
 def ratio_of_sums_by_state(t: TestTables) -> DataFrame:
     ratio = ratio_of_sums(F.col("n_uninsured"), F.col("sahie_total_population"))
     return t.stg_sahie.groupBy("state_fips", "year").agg(ratio.alias("pct_uninsured"))

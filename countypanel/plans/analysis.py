@@ -111,8 +111,8 @@ def era_change_summary(
     return largest_changes(changes, "change_pct_uninsured", "county_fips", limit)
 
 
-def county_year_trends(fct: DataFrame, county: DataFrame, year: DataFrame, ordered: bool = True) -> DataFrame:
-    """Rates, labels and policy event of every county-year."""
+def county_year_trends(fct: DataFrame, county: DataFrame, year: DataFrame, ordered: bool = False) -> DataFrame:
+    """Rates, labels and policy event of every county-year; sorted only to be shown as it is."""
     df = star_join(fct, county, year).select(
         "county_fips", "county_name", "state_abbr", "state_name", "census_region",
         "is_expansion_state", "expansion_status", "year", "era_name", "era_color_hex",

@@ -4,10 +4,10 @@ import pytest
 
 from countypanel import schemas
 from countypanel.operators import quality
-from countypanel.plans import build, raw
+from countypanel.plans import analysis, build, metrics, raw
 from countypanel.plans.contracts import CHECKS
 from countypanel.sources.reference_data import local_table
-from tests.helpers import frame, values
+from tests.helpers import frame, plan, values
 from tests.panel_rows import Panel, acs, ahrq, bls, sahie
 
 
@@ -100,8 +100,6 @@ def test_single_checks_return_rows(spark):
 
 
 def test_one_pass_per_table(spark, tmp_path):
-    from tests.helpers import plan
-
     panel = clean(spark)
     panel.stg_sahie.write.parquet(str(tmp_path / "stg"))
     stored = spark.read.parquet(str(tmp_path / "stg"))
@@ -164,7 +162,13 @@ def test_build_from_landed_files(spark, landing):
     ]
     assert spark.table("stg_sahie").count() == 6
     one_year = fact.filter("year = 2019")
-    assert "PartitionFilters: [isnotnull(year" in one_year._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan(one_year)
+    county, year = spark.table("dimensional.dim_county"), spark.table("dimensional.dim_year")
+    text = plan(analysis.era_change_summary(fact, county, year))
+    assert "dynamicpruning" in text and "SortMergeJoin" not in text
+    assert "dynamicpruning" in plan(
+        metrics.metric(fact, ["weighted_avg_pct_uninsured"], ["census_region"], county, year, where={"era_name": "Biden"})
+    )
     # a second build replaces everything
     assert build.build_star(spark)["fct_county_year"] == 6
 
@@ -191,11 +195,9 @@ def test_a_failing_source_does_not_stop_the_others(spark, landing):
 
 
 def test_a_source_with_no_files_keeps_its_table(spark, landing, tmp_path):
-    from countypanel.plans import raw as raw_plans
-
     build.load_sources(spark, build.file_loaders(landing), only=["ahrq"])
     with pytest.warns(UserWarning, match="no usable"):
-        done = build.load_sources(spark, {"ahrq": lambda s: raw_plans.load_ahrq(s, str(tmp_path / "none"))}, only=["ahrq"])
+        done = build.load_sources(spark, {"ahrq": lambda s: raw.load_ahrq(s, str(tmp_path / "none"))}, only=["ahrq"])
     assert done.skipped == ["ahrq"] and spark.table("raw.ahrq_clh").count() == 1
 
 

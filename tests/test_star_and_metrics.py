@@ -184,6 +184,15 @@ def test_trends_and_map(two_counties):
     assert ordered == ["Trump1"] * 4 + ["Biden"] * 2
 
 
+def test_trend_sorts_nothing(two_counties):
+    t = two_counties
+    text = plan(analysis.trend_by_era(analysis.county_year_trends(t.fact, t.dim_county, t.dim_year)))
+    assert "rangepartitioning" not in text
+    shown = analysis.county_year_trends(t.fact, t.dim_county, t.dim_year, ordered=True)
+    keys = [(r["county_fips"], r["year"]) for r in shown.select("county_fips", "year").collect()]
+    assert keys == sorted(keys) and len(keys) == 13
+
+
 def test_all_null_group_keeps_a_null_mean_and_null_keys_are_left_out(spark):
     panel = Panel(spark, sahie=[sahie("72001", 2017), sahie("01001", 2018, nui=None)])
     trends = analysis.county_year_trends(panel.fact, panel.dim_county, panel.dim_year)

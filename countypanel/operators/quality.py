@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from countypanel.operators.reshape import union_all
 
-REPORT_COLUMNS = ["table_name", "check_name", "column_name", "failing_rows"]
-
 
 @dataclass(frozen=True)
 class Check:
@@ -121,7 +119,8 @@ def check_table(
         reports.append(summary.agg(lines.alias("_lines")).select(F.inline("_lines")))
 
     for check in uniques[1:]:
-        reports.append(unique(df, check.column).agg(_report_line(table, check, F.count(F.lit(1))).alias("r")).select("r.*"))
+        line = _report_line(table, check, F.count(F.lit(1)))
+        reports.append(unique(df, check.column).agg(line.alias("r")).select("r.*"))
     for check in relations:
         orphans = relationships(df, check.column, parents[check.parent], check.parent_column)
         reports.append(orphans.agg(_report_line(table, check, F.sum("n_rows")).alias("r")).select("r.*"))

@@ -11,6 +11,7 @@ def _not_null(*columns: str) -> list[Check]:
     return [Check("not_null", c) for c in columns]
 
 
+# What each column has to satisfy.
 CHECKS: dict[str, list[Check]] = {
     "stg_sahie": [
         *_not_null("county_year_key", "county_fips", "state_fips", "year"),

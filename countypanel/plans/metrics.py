@@ -9,7 +9,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from countypanel import schemas
 from countypanel.functions.scalars import safe_ratio
 
 
@@ -38,6 +37,7 @@ class Metric:
         return (ratio if self.scale == 1.0 else ratio * F.lit(self.scale)).alias(self.name)
 
 
+# Metric names with what they divide or average.
 METRICS = {
     m.name: m
     for m in (
@@ -109,6 +109,3 @@ def metric(
     tables = [(county, "county_fips"), (year, "year")]
     dimensions = [Dimension(table, key) for table, key in tables if table is not None]
     return evaluate(fct, [METRICS[n] for n in names], dims, dimensions, where)
-
-
-DIMENSION_COLUMNS = [*schemas.DIM_COUNTY.names, *schemas.DIM_YEAR.names]

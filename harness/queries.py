@@ -66,16 +66,15 @@ def src_json_matrix(t: TestTables) -> DataFrame:
 
 @query()
 def src_json_matrix_rows(t: TestTables) -> DataFrame:
-    """One file per year, a row per line; a year holds at most the 100,000 county codes."""
-    root = scratch(t.spark)
-    header = F.to_json(F.array(*[F.lit(c) for c in raw.SAHIE_COLUMNS]))
-    rows = t.sahie_payload.select(
-        "year", F.lit(1).alias("part"), F.concat(F.to_json(F.array(*raw.SAHIE_COLUMNS)), F.lit(",")).alias("value")
-    )
-    years = t.sahie_payload.select("year").distinct()
-    first = years.select("year", F.lit(0).alias("part"), F.concat(F.lit("["), header, F.lit(",")).alias("value"))
-    last = years.select("year", F.lit(2).alias("part"), F.lit("]").alias("value"))
-    lines = reshape.union_all([rows, first, last]).repartition("year").sortWithinPartitions("year", "part")
+    """A row per line; every state of a year opens with the header, so no task gathers a whole year."""
+    root, group = scratch(t.spark), ["year", "state"]
+    header = F.concat(F.lit("["), F.to_json(F.array(*[F.lit(c) for c in raw.SAHIE_COLUMNS])), F.lit(","))
+    row = F.concat(F.to_json(F.array(*raw.SAHIE_COLUMNS)), F.lit(","))
+    rows = t.sahie_payload.select(*group, F.lit(1).alias("part"), row.alias("value"))
+    groups = t.sahie_payload.select(*group).distinct()
+    first = groups.select(*group, F.lit(0).alias("part"), header.alias("value"))
+    last = groups.select(*group, F.lit(2).alias("part"), F.lit("]").alias("value"))
+    lines = reshape.union_all([rows, first, last]).repartition(*group).sortWithinPartitions(*group, "part")
     lines.select("year", "value").write.partitionBy("year").text(root)
     df = json_matrix.read_row_lines(t.spark, root, raw.SAHIE_COLUMNS, raw.SAHIE_YEARS)
     return reshape.lower_names(df)
@@ -109,7 +108,8 @@ def src_multi_schema_union(t: TestTables) -> DataFrame:
 def sink_rowcount(t: TestTables) -> DataFrame:
     """Write the whole raw insurance table and report the rows counted on the way."""
     n_rows = tables.write_files(t.sahie_raw, scratch(t.spark), ("year",))
-    return t.spark.range(1).select(F.lit("sahie_uninsured").alias("table_name"), F.lit(n_rows).cast("long").alias("n_rows"))
+    counted = F.lit(n_rows).cast("long").alias("n_rows")
+    return t.spark.range(1).select(F.lit("sahie_uninsured").alias("table_name"), counted)
 
 
 @query(written=True)

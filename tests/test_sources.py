@@ -172,6 +172,19 @@ def test_replace_table_counts_and_replaces(spark):
     assert not spark.catalog.tableExists("testlayer.things__loading")
 
 
+def test_writing_nothing_counts_nothing(spark):
+    nothing = tables.empty_table(spark, schemas.RAW_AHRQ)
+    assert tables.replace_table(nothing, "nothing", "testlayer") == 0
+    assert tables.replace_table(nothing, "nothing", "testlayer", ("year",)) == 0
+    assert spark.table("testlayer.nothing").count() == 0
+
+
+def test_repeated_equal_headers_are_no_rows(spark, tmp_path):
+    land(tmp_path, 2017, '[["GEOID"],\n["01001"],\n["01003"]]\n[["GEOID"],\n["01005"],\n]\n')
+    df = json_matrix.read_row_lines(spark, str(tmp_path), ["GEOID"], [2017])
+    assert values(df, "GEOID") == [("01001",), ("01003",), ("01005",)]
+
+
 def test_failed_load_keeps_the_old_table(spark):
     good = frame(spark, "k string", ("1",))
     tables.replace_table(good, "kept", "testlayer")

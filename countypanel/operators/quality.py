@@ -95,35 +95,23 @@ def check_table(
 ) -> DataFrame:
     """Report of one table.
 
-    All row-level checks are one aggregation. If one column has to be unique, the rows are counted per
-    value of it first and the row-level counts ride along, so the table is still read only once.
+    All row-level checks are one aggregation that moves no rows. Checks on keys shuffle the key alone,
+    counted on the map side.
     """
-    row_level = [c for c in checks if c.kind not in ("unique", "relationships")]
-    uniques = [c for c in checks if c.kind == "unique"]
-    relations = [c for c in checks if c.kind == "relationships"]
     reports = []
-
-    ridden = uniques[0] if uniques else None
-    if row_level or ridden:
-        counts = [F.count_if(_breaks(c)).alias(f"_f{i}") for i, c in enumerate(row_level)]
-        if ridden:
-            per_key = df.groupBy(F.col(ridden.column).alias("_key")).agg(
-                F.count(F.lit(1)).alias("_rows"), *counts
-            )
-            totals = [F.sum(f"_f{i}") for i in range(len(row_level))]
-            totals.append(F.count_if(F.col("_key").isNotNull() & (F.col("_rows") > 1)))
-            summary, listed = per_key, row_level + [ridden]
+    row_level = [c for c in checks if c.kind not in ("unique", "relationships")]
+    if row_level:
+        lines = F.array(*[_report_line(table, c, F.count_if(_breaks(c))) for c in row_level])
+        reports.append(df.agg(lines.alias("lines")).select(F.inline("lines")))
+    for check in checks:
+        if check.kind == "unique":
+            failing, count = unique(df, check.column), F.count(F.lit(1))
+        elif check.kind == "relationships":
+            failing = relationships(df, check.column, parents[check.parent], check.parent_column)
+            count = F.sum("n_rows")
         else:
-            totals, summary, listed = [F.count_if(_breaks(c)) for c in row_level], df, row_level
-        lines = F.array(*[_report_line(table, c, total) for c, total in zip(listed, totals)])
-        reports.append(summary.agg(lines.alias("_lines")).select(F.inline("_lines")))
-
-    for check in uniques[1:]:
-        line = _report_line(table, check, F.count(F.lit(1)))
-        reports.append(unique(df, check.column).agg(line.alias("r")).select("r.*"))
-    for check in relations:
-        orphans = relationships(df, check.column, parents[check.parent], check.parent_column)
-        reports.append(orphans.agg(_report_line(table, check, F.sum("n_rows")).alias("r")).select("r.*"))
+            continue
+        reports.append(failing.agg(_report_line(table, check, count).alias("line")).select("line.*"))
     return union_all(reports)
 
 

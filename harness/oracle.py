@@ -87,7 +87,8 @@ RELATIONS = {
         SELECT 'LAUCN' || st || co || m AS series_id, CAST(year AS VARCHAR) AS year, period,
                CAST(CASE m WHEN '03' THEN (100 * n_f) // n_all WHEN '04' THEN n_f WHEN '05' THEN n_p ELSE n_all END
                     + extra AS VARCHAR) AS value
-        FROM counts, (VALUES ('03'), ('04'), ('05'), ('06')) AS v(m), (VALUES ('M13', 0), ('M01', 7)) AS p(period, extra)""",
+        FROM counts, (VALUES ('03'), ('04'), ('05'), ('06')) AS v(m),
+             (VALUES ('M13', 0), ('M01', 7)) AS p(period, extra)""",
     "bls_raw": """
         SELECT st || co AS county_fips, st AS state_fips, co AS county_fips_within_state, year,
                CAST((100 * n_f) // n_all AS DOUBLE) AS unemployment_rate,
@@ -384,6 +385,33 @@ def _union_by_name() -> str:
                {v['obstetrics']} AS POS_MEDIAN_DIST_OBSTETRICS, {v['uninsured']} AS SAHIE_PCT_UNINSURED64 {_NEW_LAYOUT}"""
 
 
+def _gen_quality_report() -> str:
+    def rows(table: str, where: str) -> str:
+        return f"(SELECT count(*) FROM {table} WHERE {where})"
+
+    def repeated(table: str, column: str) -> str:
+        return f"(SELECT count(*) FROM (SELECT {column} FROM {table} GROUP BY 1 HAVING count(*) > 1))"
+
+    lines = [
+        _check("orders", "not_null", "o_custkey", rows("orders", "o_custkey IS NULL")),
+        _check("orders", "unique", "o_orderkey", repeated("orders", "o_orderkey")),
+        _check("orders", "accepted_values", "o_orderstatus", rows("orders", "o_orderstatus NOT IN ('F', 'O')")),
+        _check("orders", "between", "o_totalprice",
+               rows("orders", "o_orderstatus = 'F' AND (o_totalprice < 1000 OR o_totalprice > 400000)")),
+        _check("orders", "relationships", "o_custkey", rows("orders", "o_custkey NOT IN (SELECT c_custkey FROM customer)")),
+        _check("lineitem", "not_null", "l_shipdate", rows("lineitem", "l_shipdate IS NULL")),
+        _check("lineitem", "between", "l_discount", rows("lineitem", "l_discount < 0 OR l_discount > 0.05")),
+        _check("lineitem", "part_of_whole", "l_tax",
+               rows("lineitem", "l_tax < 0 OR l_discount < 0 OR l_tax > l_discount")),
+        _check("lineitem", "relationships", "l_partkey",
+               rows("lineitem", "l_partkey NOT IN (SELECT p_partkey FROM part)")),
+        _check("lineitem", "unique", "l_orderkey", repeated("lineitem", "l_orderkey")),
+        _check("customer", "unique", "c_custkey", repeated("customer", "c_custkey")),
+        _check("customer", "between", "c_acctbal", rows("customer", "c_acctbal < 0 OR c_acctbal > 9000")),
+    ]
+    return "\nUNION ALL ".join(lines)
+
+
 WEIGHTED = [n for n in METRICS if n.startswith("weighted")]
 STATE_OF = "lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0')"
 
@@ -550,6 +578,17 @@ EXPECTED = {
     "gen_relationships": """
         SELECT l_orderkey, count(*) AS n_rows FROM lineitem
         WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1""",
+    "gen_quality_report": _gen_quality_report(),
+    "gen_fan_out_join": """
+        SELECT o_orderkey AS orderkey, o_orderstatus, o_totalprice, l_linenumber, l_quantity
+        FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') ON l_orderkey = o_orderkey""",
+    "gen_spine_joins": """
+        SELECT c_custkey, c_mktsegment, c_acctbal, n_orders, largest_order, n_events, largest_value FROM customer
+        LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS largest_order FROM orders GROUP BY 1)
+            ON o_custkey = c_custkey
+        LEFT JOIN (SELECT user_id, count(*) AS n_events, max(value) AS largest_value FROM events GROUP BY 1)
+            ON user_id = c_custkey""",
+    "gen_distinct": "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM lineitem",
     "gen_star_metrics": """
         SELECT r_name, year, sum(returned) / nullif(sum(quantity), 0) AS return_ratio,
                sum(returned) / nullif(sum(quantity), 0) * 100.0 AS returned_per_100,

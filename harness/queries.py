@@ -550,14 +550,16 @@ def check_ratio_bounds(t: TestTables) -> DataFrame:
 @query(written=True)
 def quality_report(t: TestTables) -> DataFrame:
     def stored(df: DataFrame) -> DataFrame:
-        """Dimension and fact are checked as the tables they are, since several checks read them."""
+        """Tables that are costly to derive are checked in stored form, since several checks read them."""
         folder = scratch(t.spark)
         tables.write_files(df, folder)
         return t.spark.read.schema(df.schema).parquet(folder)
 
+    stg_bls = stored(t.stg_bls)
+    fact = star.fact(t.stg_sahie, stg_bls, t.stg_acs, t.stg_ahrq)
     checked = {
-        "stg_sahie": t.stg_sahie, "stg_bls": t.stg_bls, "stg_acs": t.stg_acs, "stg_ahrq": t.stg_ahrq,
-        "dim_county": stored(t.dim_county), "dim_year": t.dim_year, "fct_county_year": stored(t.fact),
+        "stg_sahie": t.stg_sahie, "stg_bls": stg_bls, "stg_acs": t.stg_acs, "stg_ahrq": t.stg_ahrq,
+        "dim_county": stored(t.dim_county), "dim_year": t.dim_year, "fct_county_year": stored(fact),
         "state_fips_lookup": t.states, "policy_eras": t.eras, "medicaid_expansion_status": t.expansion,
     }
     return quality.run_checks(checked, CHECKS)
@@ -617,6 +619,58 @@ def gen_relationships(t: TestTables) -> DataFrame:
     return quality.relationships(t.table("lineitem"), "l_orderkey", finished, "o_orderkey")
 
 
+GEN_CHECKS = {
+    "orders": [
+        quality.Check("not_null", "o_custkey"),
+        quality.Check("unique", "o_orderkey"),
+        quality.Check("accepted_values", "o_orderstatus", values=("F", "O")),
+        quality.Check("between", "o_totalprice", low=1000, high=400000, where="o_orderstatus = 'F'"),
+        quality.Check("relationships", "o_custkey", parent="customer", parent_column="c_custkey"),
+    ],
+    "lineitem": [
+        quality.Check("not_null", "l_shipdate"),
+        quality.Check("between", "l_discount", low=0, high=0.05),
+        quality.Check("part_of_whole", "l_tax", parent_column="l_discount"),
+        quality.Check("relationships", "l_partkey", parent="part", parent_column="p_partkey"),
+        quality.Check("unique", "l_orderkey"),
+    ],
+    "customer": [quality.Check("unique", "c_custkey"), quality.Check("between", "c_acctbal", low=0, high=9000)],
+}
+
+
+@query()
+def gen_quality_report(t: TestTables) -> DataFrame:
+    return quality.run_checks({name: t.table(name) for name in (*GEN_CHECKS, "part")}, GEN_CHECKS)
+
+
+@query()
+def gen_fan_out_join(t: TestTables) -> DataFrame:
+    """Every order with its returned lines; most orders have none, one or a few, some very many."""
+    orders = t.table("orders").select(F.col("o_orderkey").alias("orderkey"), "o_orderstatus", "o_totalprice")
+    lines = t.table("lineitem").filter(_returned())
+    lines = lines.select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_quantity")
+    return joins.fan_out_left_join(orders, lines, ["orderkey"])
+
+
+@query()
+def gen_spine_joins(t: TestTables) -> DataFrame:
+    """Measures of three sources side by side on the key of the leading one, each reduced to that key."""
+    key = "c_custkey"
+    bought = t.table("orders").groupBy(F.col("o_custkey").alias(key)).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("largest_order")
+    )
+    seen = t.table("events").groupBy(F.col("user_id").alias(key)).agg(
+        F.count(F.lit(1)).alias("n_events"), F.max("value").alias("largest_value")
+    )
+    spine = t.table("customer").select(key, "c_mktsegment", "c_acctbal")
+    return spine.join(bought, key, "left").join(seen, key, "left")
+
+
+@query()
+def gen_distinct(t: TestTables) -> DataFrame:
+    return t.table("lineitem").select("l_partkey", "l_suppkey", "l_returnflag").distinct()
+
+
 def _quantities(t: TestTables) -> DataFrame:
     """Quantity and returned quantity per customer and year of order.
 

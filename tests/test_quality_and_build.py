@@ -99,12 +99,14 @@ def test_single_checks_return_rows(spark):
     assert values(quality.relationships(df, "k", parent, "id"), "k", "n_rows") == [("b", 1)]
 
 
-def test_one_pass_per_table(spark, tmp_path):
+def test_row_level_checks_are_one_scan_and_key_checks_read_the_key(spark, tmp_path):
     panel = clean(spark)
     panel.stg_sahie.write.parquet(str(tmp_path / "stg"))
     stored = spark.read.parquet(str(tmp_path / "stg"))
     text = plan(quality.check_table("stg_sahie", stored, CHECKS["stg_sahie"], {}))
-    assert text.count("FileScan") == 1
+    assert text.count("FileScan") == 2
+    assert "ReadSchema: struct<county_year_key:string>" in text
+    assert text.count("hashpartitioning") == 1
 
 
 # --- build -----------------------------------------------------------------------------------------

@@ -70,8 +70,9 @@ def dim_year(spark: SparkSession, eras: DataFrame) -> DataFrame:
 def fact(stg_sahie: DataFrame, stg_bls: DataFrame, stg_acs: DataFrame, stg_ahrq: DataFrame) -> DataFrame:
     """Numerators and denominators per county and year, led by the insurance spine.
 
-    All inputs are joined on (county_fips, year), so each is shuffled once at most. Only the health files
-    may repeat a county-year; their copies fan out.
+    All inputs are joined on (county_fips, year), so each is shuffled once at most. Unemployment has one
+    row per county-year by construction and the ACS by contract, which the unique check enforces. The
+    health files may repeat a county-year; their copies fan out.
     """
     wanted = schemas.FACT.names
 

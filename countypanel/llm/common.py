@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -13,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did, if it isn't installed for them."""
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if top not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [top, known]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share. Only where a local session names none is one made."""
     folder = spark.conf.get("spark.checkpoint.dir", "") or ""

@@ -184,6 +184,20 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(run, "doc_id bigint, score double")
 
 
+def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores threshold or more."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            for i in range(0, len(texts), 256):
+                good = model.score([passages(t) for t in texts[i : i + 256]]) >= threshold
+                yield batch.slice(i, 256).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = scored(docs, fit(docs, table(spark, sf_dir, "labels")))

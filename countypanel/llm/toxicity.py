@@ -29,6 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from countypanel.llm.common import held_out, stored, table, text_of, training_rows
 
@@ -147,7 +148,7 @@ def lexicon(rows: DataFrame, max_terms: int = LEXICON_TERMS) -> tuple[list[str],
 
 def measured(docs: DataFrame, terms: tuple[list[str], list[str]], keep: list[str]) -> DataFrame:
     """The columns keep and the features of every row of docs (text must not be null)."""
-    schema = ", ".join([*[f"{docs.schema[c].name} {docs.schema[c].dataType.simpleString()}" for c in keep], *[f"{f} double" for f in FEATURES]])
+    schema = StructType([docs.schema[c] for c in keep] + [StructField(f, DoubleType()) for f in FEATURES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Measure(*terms)
@@ -166,14 +167,14 @@ class Model:
     trees: object = None
     calibration: object = None
 
-    def score(self, rows: DataFrame) -> DataFrame:
-        """rows (doc_id and features) with their score."""
+    def score(self, rows: DataFrame, keep: str = "doc_id") -> DataFrame:
+        """The column keep of rows (which have the features) and their score."""
         if self.constant is not None:
-            return rows.select("doc_id", F.lit(self.constant).alias("score"))
+            return rows.select(keep, F.lit(self.constant).alias("score"))
         out = self.trees.transform(_vector(rows)).withColumn("p", vector_to_array("probability")[1])
         if self.calibration is None:
-            return out.select("doc_id", F.col("p").alias("score"))
-        return self.calibration.transform(out).select("doc_id", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
+            return out.select(keep, F.col("p").alias("score"))
+        return self.calibration.transform(out).select(keep, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def _vector(rows: DataFrame) -> DataFrame:
@@ -207,6 +208,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return model.score(measured(texts, model.terms, ["doc_id"]))
 
 
+def keep_civil(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores below threshold."""
+    rows = docs.select(F.struct("*").alias("row"), text_of().alias("text"))
+    return model.score(measured(rows, model.terms, ["row"]), "row").where(F.col("score") < threshold).select("row.*")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = scored(docs, fit(docs, table(spark, sf_dir, "labels")))

@@ -57,12 +57,12 @@ def is_state_total(county_fips: Column) -> Column:
 
 
 def to_numeric(text: Column) -> Column:
-    """Double from text, null where the text is no number.
+    """Double from text, null where the text is no number; ``NaN`` in any spelling is none.
 
-    The JVM also reads Java literals such as ``1d`` as numbers; those are refused here.
+    The JVM also reads Java literals such as ``1d`` as numbers; those are refused here. Infinity stays.
     """
     trimmed = F.trim(text)
-    return F.when(~trimmed.rlike("[0-9.][dDfF]$"), trimmed.try_cast("double"))
+    return F.when(~trimmed.rlike("(?i)[0-9.][df]$|nan$"), trimmed.try_cast("double"))
 
 
 def to_year(text: Column) -> Column:

@@ -9,45 +9,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-THETA_JOIN_ROWS = 1000
-
-
 def lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Many-to-one left join; rows without a match get nulls."""
     return df.join(table, key, "left")
 
 
-def _within(value: Column, start: str, end: str) -> Column:
-    return value.between(F.col(start), F.col(end))
+def range_lookup(df: DataFrame, value: Column, intervals: DataFrame, start: str, end: str) -> DataFrame:
+    """Left range join: every interval with start <= value <= end, inclusive; nulls where there is none.
 
+    An interval belongs to the level of the smallest power of two that is at least its length, and touches at
+    most two buckets of that width, whatever its length. Distinct values are looked up once in each
+    level that occurs, by an equi-join on level and bucket, and the rows then join what their value has
+    found. So there is one form for any number and width of intervals and never a nested loop. Planning
+    reads the levels that occur: a few dozen small numbers at most.
 
-def range_lookup_equi(
-    df: DataFrame, value: Column, intervals: DataFrame, start: str, end: str, width: int = 1
-) -> DataFrame:
-    """Left range join as an equi-join on a bucket of ``width`` values.
-
-    Every interval is listed once per bucket it touches and a value has one bucket, so each matching
-    interval is found exactly once, however many intervals there are.
+    Intervals that are null or end before they start match nothing. Values and bounds are numeric.
     """
-
-    def bucket(c: Column) -> Column:
-        return F.floor(c) if width == 1 else F.floor(c / width)
-
-    listed = intervals.withColumn(
-        "_bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end))))
-    )
-    matches = (bucket(value) == F.col("_bucket")) & _within(value, start, end)
-    return df.join(listed, matches, "left").drop("_bucket")
-
-
-def range_lookup(
-    df: DataFrame, value: Column, intervals: DataFrame, start: str, end: str, width: int = 1
-) -> DataFrame:
-    """Left range join: a nested loop over a handful of intervals, the equi form beyond that."""
-    few = len(intervals.select(start).take(THETA_JOIN_ROWS + 1)) <= THETA_JOIN_ROWS
-    if few:
-        return df.join(F.broadcast(intervals), _within(value, start, end), "left")
-    return range_lookup_equi(df, value, intervals, start, end, width)
+    length = F.col(end).cast("double") - F.col(start).cast("double")
+    level = F.greatest(F.ceil(F.log2(F.greatest(length, F.lit(1.0)))), F.lit(0)).cast("int")
+
+    def bucket(c: Column, of: Column) -> Column:
+        return F.floor(c.cast("double") / F.pow(F.lit(2.0), of))
+
+    valid = intervals.filter(F.col(start) <= F.col(end)).withColumn("_level", level)
+    levels = [row[0] for row in valid.select("_level").distinct().collect()]
+    first, last = bucket(F.col(start), F.col("_level")), bucket(F.col(end), F.col("_level"))
+    listed = valid.withColumn("_bucket", F.explode(F.array_distinct(F.array(first, last))))
+    asked = df.select(value.alias("_value")).filter("_value IS NOT NULL").distinct()
+    asked = asked.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
+    asked = asked.withColumn("_bucket", bucket(F.col("_value"), F.col("_level")))
+    found = asked.join(listed, ["_level", "_bucket"]).filter(F.col("_value").between(F.col(start), F.col(end)))
+    return df.join(found.drop("_level", "_bucket"), value == F.col("_value"), "left").drop("_value")
 
 
 def present_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from countypanel import schemas
 from countypanel.operators.quality import run_checks
@@ -49,6 +50,8 @@ class LoadReport:
     rows: dict[str, int] = field(default_factory=dict)
     errors: dict[str, Exception] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
+    #: Per source: years without files, files left out, anything else its loader warned of.
+    incomplete: dict[str, list[str]] = field(default_factory=dict)
 
 
 class SourceLoadError(RuntimeError):
@@ -65,10 +68,12 @@ def load_sources(
     loaders: Mapping[str, Loader],
     only: Sequence[str] | None = None,
     skip: Sequence[str] = (),
+    allow_fewer_years: bool = False,
 ) -> LoadReport:
     """Replace the raw table of every chosen source; one failing source does not stop the others.
 
-    A loader that finds nothing to load returns None, and the table stays as it is.
+    A loader that finds nothing to load returns None, and the table stays as it is. So it does, with an error, when the new rows
+    lack years that the table has, unless ``allow_fewer_years``. What loaders warn of is in the report.
     """
     report = LoadReport()
     for key, (name, schema) in RAW_TABLES.items():
@@ -77,26 +82,48 @@ def load_sources(
         if key in skip:
             report.skipped.append(key)
             continue
-        try:
-            df = loaders[key](spark)
-            if df is None:
-                report.skipped.append(key)
-                continue
-            report.rows[key] = replace_table(schemas.assert_schema(df, schema, name), name, "raw")
-        except Exception as error:
-            report.errors[key] = error
+        with warnings.catch_warnings(record=True) as caught:
+            warnings.simplefilter("always", UserWarning)
+            try:
+                df = loaders[key](spark)
+                if df is None:
+                    report.skipped.append(key)
+                else:
+                    df = schemas.assert_schema(df, schema, name)
+                    report.rows[key] = replace_table(df, name, "raw", accept=None if allow_fewer_years else _same_years)
+            except Exception as error:
+                report.errors[key] = error
+        told = [w for w in caught if issubclass(w.category, UserWarning)]
+        if told:
+            report.incomplete[key] = [str(w.message) for w in told]
+        for w in caught:
+            warnings.warn_explicit(w.message, w.category, w.filename, w.lineno)
     if report.errors:
         raise SourceLoadError(report)
     return report
 
 
-def load_seeds(spark: SparkSession) -> dict[str, int]:
+def _same_years(old: DataFrame, new: DataFrame) -> None:
+    missing = old.select("year").distinct().join(new.select("year").distinct(), "year", "left_anti")
+    years = sorted(row["year"] for row in missing.filter("year IS NOT NULL").collect())
+    if years:
+        raise ValueError(f"the new rows lack the years {years}, which the table has; allow_fewer_years replaces it all the same")
+
+
+SEEDS = {
+    "state_fips_lookup": (reference_data.states, schemas.SEED_STATES),
+    "policy_eras": (reference_data.eras, schemas.SEED_ERAS),
+    "medicaid_expansion_status": (reference_data.expansion, schemas.SEED_EXPANSION),
+}
+
+
+def load_seeds(spark: SparkSession, folder: str | None = None) -> dict[str, int]:
+    """Write the lookup tables: from ``<name>.csv`` below a folder, or those shipped with the package."""
     return {
-        "state_fips_lookup": replace_table(reference_data.states(spark), "state_fips_lookup", "seeds"),
-        "policy_eras": replace_table(reference_data.eras(spark), "policy_eras", "seeds"),
-        "medicaid_expansion_status": replace_table(
-            reference_data.expansion(spark), "medicaid_expansion_status", "seeds"
-        ),
+        name: replace_table(
+            shipped(spark) if folder is None else reference_data.read_seed(spark, f"{folder}/{name}.csv", schema), name, "seeds"
+        )
+        for name, (shipped, schema) in SEEDS.items()
     }
 
 
@@ -146,14 +173,32 @@ def panel_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return tables
 
 
+class PanelCheckError(RuntimeError):
+    """The panel was written, but some checks fail; ``report`` has a row per check."""
+
+    def __init__(self, report: DataFrame, failing: list[Row]):
+        self.report = report
+        details = "; ".join(f"{r.table_name}.{r.column_name} {r.check_name}: {r.failing_rows}" for r in failing)
+        super().__init__(f"{len(failing)} check(s) failed: {details}")
+
+
 def build_panel(
     spark: SparkSession,
     loaders: Mapping[str, Loader],
     only: Sequence[str] | None = None,
     skip: Sequence[str] = (),
+    seeds: str | None = None,
+    fail_on_checks: bool = True,
 ) -> DataFrame:
-    """Sources, seeds, star schema; returns the quality report."""
+    """Sources, seeds, star schema; returns the quality report, or raises it if a check fails."""
     load_sources(spark, loaders, only, skip)
-    load_seeds(spark)
+    load_seeds(spark, seeds)
     build_star(spark)
-    return run_checks(panel_tables(spark), CHECKS)
+    report = run_checks(panel_tables(spark), CHECKS)
+    if fail_on_checks:
+        lines = report.collect()  # one row per check
+        report = spark.createDataFrame(lines, report.schema)
+        failing = [line for line in lines if line.failing_rows]
+        if failing:
+            raise PanelCheckError(report, failing)
+    return report

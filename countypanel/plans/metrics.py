@@ -31,8 +31,8 @@ class Metric:
         return {f"sum({e})": F.sum(F.expr(e)) for e in (self.numerator, self.denominator)}
 
     def value(self) -> Column:
-        """The metric from its parts, which are summed once more over the slice."""
-        top, bottom = [F.sum(F.col(f"`{p}`")) for p in self.parts()]
+        """The metric of a group of rows."""
+        top, bottom = self.parts().values()
         ratio = safe_ratio(top, bottom)
         return (ratio if self.scale == 1.0 else ratio * F.lit(self.scale)).alias(self.name)
 
@@ -72,8 +72,9 @@ def evaluate(
 ) -> DataFrame:
     """Metrics grouped by ``dims``, restricted to rows whose columns equal the values in ``where``.
 
-    The fact is summed per foreign key before it meets a dimension. The join then carries one row per
-    key instead of one per fact row, and a key that dominates the fact is folded on the map side.
+    Dimensions are filtered before they are joined, a filtered one by an inner join. The fact then goes straight to the asked
+    groups: the map side folds it to a few rows per task, and only those are shuffled. Dimensions that Spark can
+    broadcast leave the fact where it was read.
     """
     where = where or {}
     asked = list(dict.fromkeys([*dims, *where]))
@@ -85,15 +86,16 @@ def evaluate(
     if unknown:
         raise ValueError(f"unknown dimensions: {sorted(unknown)}")
 
-    own = [c for c in asked if c in fct.columns]
-    keys = list(dict.fromkeys([*own, *[d.key for d, _ in joined_dims]]))
-    parts = {name: column for m in metrics for name, column in m.parts().items()}
-    sliced = fct.groupBy(*keys).agg(*[column.alias(name) for name, column in parts.items()])
+    def restricted(df: DataFrame) -> DataFrame:
+        for column, value in where.items():
+            if column in df.columns:
+                df = df.filter(F.col(column).isin(*value) if isinstance(value, (list, tuple, set)) else F.col(column) == value)
+        return df
+
+    sliced = restricted(fct)
     for dimension, columns in joined_dims:
-        sliced = sliced.join(dimension.table.select(dimension.key, *columns), dimension.key, "left")
-    for column, value in where.items():
-        allowed = value if isinstance(value, (list, tuple, set)) else [value]
-        sliced = sliced.filter(F.col(column).isin(*allowed))
+        table = restricted(dimension.table.select(dimension.key, *columns))
+        sliced = sliced.join(table, dimension.key, "inner" if set(columns) & set(where) else "left")
     return sliced.groupBy(*dims).agg(*[m.value() for m in metrics])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from countypanel.functions.scalars import (
@@ -135,22 +135,16 @@ def annual_values(data: DataFrame, years: Sequence[int] = tuple(BLS_YEARS)) -> D
 def bls_raw(series: DataFrame, data: DataFrame, years: Sequence[int] = tuple(BLS_YEARS)) -> DataFrame:
     """Unemployment rate, unemployed and labor force side by side per county and year.
 
-    Observations are reduced to one value per series and year before they meet the series table, so a
-    series that repeats does not travel through the join. Among several series of one county and measure
-    the lowest series id counts.
+    Observations of other series are left out by the join with the wanted series, which is small next to them, before
+    anything is shuffled for the aggregation. Among several series of one county and measure the lowest series id
+    counts; of repeated observations of one series and year, which the source should not have, the lowest value.
     """
-    observed = (
-        annual_values(data, years)
-        .withColumn("value", to_numeric(F.col("value")))
-        .filter(F.col("value").isNotNull())
-        .groupBy("series_id", "year")
-        .agg(F.min("value").alias("value"))
-    )
+    ranks = Window.partitionBy("county_fips", "measure_code").orderBy("series_id")
+    wanted = county_series(series).withColumn("series_rank", F.dense_rank().over(ranks))
+    observed = annual_values(data, years).withColumn("value", to_numeric(F.col("value"))).filter(F.col("value").isNotNull())
     index = ["county_fips", "state_fips", "county_fips_within_state", "year"]
-    return pivot_measures(
-        observed.join(county_series(series), "series_id"),
-        index, "measure_code", "value", BLS_MEASURES, "series_id",
-    )
+    reduced = observed.join(wanted, "series_id").groupBy(*index, "measure_code", "series_rank").agg(F.min("value").alias("value"))
+    return pivot_measures(reduced, index, "measure_code", "value", BLS_MEASURES, "series_rank")
 
 
 def ahrq_raw(resolved: DataFrame) -> DataFrame:
@@ -163,8 +157,11 @@ def ahrq_raw(resolved: DataFrame) -> DataFrame:
     )
 
 
-def load_ahrq(spark: SparkSession, folder: str, skip_unreadable: bool = True) -> DataFrame | None:
-    """Every yearly file under a folder; None, with a warning, when none is usable."""
+def load_ahrq(spark: SparkSession, folder: str, skip_unreadable: bool = False) -> DataFrame | None:
+    """Every yearly file under a folder; None, with a warning, when none is usable.
+
+    A file that cannot be read is an error, or with ``skip_unreadable`` left out with a warning.
+    """
     files = list_files(spark, folder, AHRQ_FILES)
     resolved = read_drifting_csv(spark, files, AHRQ_ALIASES, skip_unreadable) if files else None
     if resolved is None:

@@ -7,7 +7,7 @@ import warnings
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from countypanel.operators.reshape import resolve_aliases, union_all
@@ -56,10 +56,10 @@ def group_by_header(
     Only the first line of each file is touched; the small jobs run side by side.
     """
 
-    def header(file: str) -> tuple[str, ...] | Exception:
+    def header(file: str) -> tuple[str, ...] | PySparkException:
         try:
             return tuple(_csv(spark, [file]).columns)
-        except Exception as error:
+        except PySparkException as error:
             return error
 
     with ThreadPoolExecutor(HEADER_THREADS) as pool:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,34 +35,65 @@ def _counted(df: DataFrame, partition_by: tuple[str, ...]) -> tuple[DataFrame, O
 
 
 def replace_table(
-    df: DataFrame, name: str, layer: str | None = None, partition_by: tuple[str, ...] = ()
+    df: DataFrame,
+    name: str,
+    layer: str | None = None,
+    partition_by: tuple[str, ...] = (),
+    accept: Callable[[DataFrame, DataFrame], None] | None = None,
 ) -> int:
     """Replace a table and return its number of rows.
 
-    Rows are counted while they are written. The old table stays in place until the new one is complete.
+    Rows are counted while they are written. The old table stays in place until the new one is complete, then steps aside
+    under another name until the new one has its own; if that fails it is put back, also by the next call.
+    ``accept`` may refuse the new rows, given the old and the new table, by raising an error.
     """
     spark = df.sparkSession
     target = table_name(name, layer)
-    loading = target + "__loading"
+    loading, previous = target + "__loading", target + "__previous"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer_name(layer)}")
+    _put_back(spark, previous, target)
     spark.sql(f"DROP TABLE IF EXISTS {loading}")
     counted, written = _counted(df, partition_by)
     counted.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(loading)
-    spark.sql(f"DROP TABLE IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {loading} RENAME TO {target}")
-    if partition_by:
-        _move_partitions(spark, target)
+    if spark.catalog.tableExists(target):
+        if accept is not None:
+            accept(spark.table(target), spark.table(loading))
+        _rename(spark, target, previous)
+    try:
+        _rename(spark, loading, target)
+    except Exception:
+        _put_back(spark, previous, target)
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
     return written.get["n_rows"]
 
 
-def _move_partitions(spark: SparkSession, table: str) -> None:
-    """Point the partitions below the renamed table; not every catalog does so while renaming."""
-    described = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Location'")
-    location = described.first()["data_type"]
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+def _put_back(spark: SparkSession, previous: str, target: str) -> None:
+    """Undo a replacement that was broken off between its two renames."""
+    if spark.catalog.tableExists(previous):
+        if spark.catalog.tableExists(target):
+            spark.sql(f"DROP TABLE {previous}")
+        else:
+            _rename(spark, previous, target)
+
+
+def _rename(spark: SparkSession, table: str, name: str) -> None:
+    """Rename a table and point its partitions below it; not every catalog does so while renaming."""
+    spark.sql(f"ALTER TABLE {table} RENAME TO {name}")
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    if "# Partition Information" not in described:
+        return
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
         folder = row["partition"]
-        values = ", ".join("{}='{}'".format(*part.split("=", 1)) for part in folder.split("/"))
-        spark.sql(f"ALTER TABLE {table} PARTITION ({values}) SET LOCATION '{location}/{folder}'")
+        parts = [part.split("=", 1) for part in folder.split("/")]
+        values = ", ".join(f"`{key}` = {_partition_value(value)}" for key, value in parts)
+        location = f"{described['Location']}/{folder}".replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} PARTITION ({values}) SET LOCATION '{location}'")
+
+
+def _partition_value(text: str) -> str:
+    value = unquote(text)
+    return "NULL" if value == "__HIVE_DEFAULT_PARTITION__" else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def write_files(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:

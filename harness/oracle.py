@@ -4,10 +4,86 @@ from __future__ import annotations
 
 import re
 
-from countypanel.functions.scalars import POLICY_EVENTS
-from countypanel.plans.metrics import METRICS
-from countypanel.plans.raw import ACS_VARIABLES
-from countypanel.sources.reference_data import ERAS, STATES
+
+# Fixed values, written out a second time so that a wrong entry in the engine shows: states with the year of their Medicaid
+# expansion, eras, policy events, Census columns, metrics.
+STATES = [
+    ("01", "Alabama", "AL", "South", "East South Central", None),
+    ("02", "Alaska", "AK", "West", "Pacific", 2015),
+    ("04", "Arizona", "AZ", "West", "Mountain", 2014),
+    ("05", "Arkansas", "AR", "South", "West South Central", 2014),
+    ("06", "California", "CA", "West", "Pacific", 2014),
+    ("08", "Colorado", "CO", "West", "Mountain", 2014),
+    ("09", "Connecticut", "CT", "Northeast", "New England", 2014),
+    ("10", "Delaware", "DE", "South", "South Atlantic", 2014),
+    ("11", "District of Columbia", "DC", "South", "South Atlantic", 2014),
+    ("12", "Florida", "FL", "South", "South Atlantic", None),
+    ("13", "Georgia", "GA", "South", "South Atlantic", None),
+    ("15", "Hawaii", "HI", "West", "Pacific", 2014),
+    ("16", "Idaho", "ID", "West", "Mountain", 2020),
+    ("17", "Illinois", "IL", "Midwest", "East North Central", 2014),
+    ("18", "Indiana", "IN", "Midwest", "East North Central", 2015),
+    ("19", "Iowa", "IA", "Midwest", "West North Central", 2014),
+    ("20", "Kansas", "KS", "Midwest", "West North Central", None),
+    ("21", "Kentucky", "KY", "South", "East South Central", 2014),
+    ("22", "Louisiana", "LA", "South", "West South Central", 2016),
+    ("23", "Maine", "ME", "Northeast", "New England", 2019),
+    ("24", "Maryland", "MD", "South", "South Atlantic", 2014),
+    ("25", "Massachusetts", "MA", "Northeast", "New England", 2014),
+    ("26", "Michigan", "MI", "Midwest", "East North Central", 2014),
+    ("27", "Minnesota", "MN", "Midwest", "West North Central", 2014),
+    ("28", "Mississippi", "MS", "South", "East South Central", None),
+    ("29", "Missouri", "MO", "Midwest", "West North Central", 2021),
+    ("30", "Montana", "MT", "West", "Mountain", 2016),
+    ("31", "Nebraska", "NE", "Midwest", "West North Central", 2020),
+    ("32", "Nevada", "NV", "West", "Mountain", 2014),
+    ("33", "New Hampshire", "NH", "Northeast", "New England", 2014),
+    ("34", "New Jersey", "NJ", "Northeast", "Middle Atlantic", 2014),
+    ("35", "New Mexico", "NM", "West", "Mountain", 2014),
+    ("36", "New York", "NY", "Northeast", "Middle Atlantic", 2014),
+    ("37", "North Carolina", "NC", "South", "South Atlantic", 2023),
+    ("38", "North Dakota", "ND", "Midwest", "West North Central", 2014),
+    ("39", "Ohio", "OH", "Midwest", "East North Central", 2014),
+    ("40", "Oklahoma", "OK", "South", "West South Central", 2021),
+    ("41", "Oregon", "OR", "West", "Pacific", 2014),
+    ("42", "Pennsylvania", "PA", "Northeast", "Middle Atlantic", 2015),
+    ("44", "Rhode Island", "RI", "Northeast", "New England", 2014),
+    ("45", "South Carolina", "SC", "South", "South Atlantic", None),
+    ("46", "South Dakota", "SD", "Midwest", "West North Central", 2023),
+    ("47", "Tennessee", "TN", "South", "East South Central", None),
+    ("48", "Texas", "TX", "South", "West South Central", None),
+    ("49", "Utah", "UT", "West", "Mountain", 2020),
+    ("50", "Vermont", "VT", "Northeast", "New England", 2014),
+    ("51", "Virginia", "VA", "South", "South Atlantic", 2019),
+    ("53", "Washington", "WA", "West", "Pacific", 2014),
+    ("54", "West Virginia", "WV", "South", "South Atlantic", 2014),
+    ("55", "Wisconsin", "WI", "Midwest", "East North Central", None),
+    ("56", "Wyoming", "WY", "West", "Mountain", None),
+]
+ERAS = [
+    ("Trump1", "Trump", 2017, 2020, "#e31a1c"), ("Biden", "Biden", 2021, 2024, "#1f78b4"), ("Trump2", "Trump", 2025, 2027, "#fc8d59"),
+]
+POLICY_EVENTS = [
+    (2019, "ACA individual mandate penalty repealed"), (2020, "COVID-19: continuous coverage requirement (Mar)"),
+    (2021, "American Rescue Plan ACA subsidy expansion"), (2023, "Medicaid unwinding begins (Apr)"),
+    (2024, "Medicaid unwinding ends (Jun); enrollment drops"), (2025, "Trump2 Medicaid work requirements / DOGE cuts"),
+]
+ACS_NAMES = [
+    "median_household_income", "n_below_poverty", "poverty_universe", "edu_universe", "edu_hs_diploma", "edu_bachelors",
+    "renters_total", "renters_severe_burden",
+]
+METRICS = {
+    "weighted_avg_pct_uninsured": "sum(n_uninsured) / nullif(sum(sahie_total_population), 0)",
+    "weighted_avg_unemployment_rate": "sum(unemployment_level) / nullif(sum(labor_force_level), 0)",
+    "weighted_avg_poverty_rate": "sum(n_below_poverty) / nullif(sum(poverty_universe), 0)",
+    "weighted_avg_pct_bachelors_plus": "sum(edu_bachelors) / nullif(sum(edu_universe), 0)",
+    "weighted_avg_pct_hs_plus": "sum(edu_hs_diploma + edu_bachelors) / nullif(sum(edu_universe), 0)",
+    "weighted_avg_pct_severe_rent_burden": "sum(renters_severe_burden) / nullif(sum(renters_total), 0)",
+    "avg_median_household_income": "avg(median_household_income)",
+    "weighted_avg_mds_rate_per_100k": "sum(total_mds) / nullif(sum(total_population), 0) * 100000",
+    "avg_dist_trauma_center_miles": "avg(dist_trauma_center_miles)",
+    "avg_dist_obstetrics_miles": "avg(dist_obstetrics_miles)",
+}
 
 
 def _literal(value: object) -> str:
@@ -25,7 +101,7 @@ def _zfill(text: str, width: int) -> str:
 
 
 def _num(text: str) -> str:
-    return f"TRY_CAST({text} AS DOUBLE)"
+    return f"CASE WHEN lower({text}) NOT LIKE '%nan%' THEN TRY_CAST({text} AS DOUBLE) END"
 
 
 def _share(top: str, bottom: str) -> str:
@@ -50,7 +126,7 @@ RELATIONS = {
         FROM (VALUES {_values(ERAS)}) AS v(era_name, president, s, e, color_hex)""",
     "places": """
         SELECT c_custkey, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS st,
-               lpad(CAST(c_custkey % 20 AS VARCHAR), 3, '0') AS co
+               lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS co
         FROM customer""",
     "counts": f"""
         SELECT st, co, {YEAR} AS year, count(*) AS n_all, count(DISTINCT o_custkey) AS customers,
@@ -99,15 +175,15 @@ RELATIONS = {
         FROM bls_raw WHERE year BETWEEN 2017 AND 2024""",
     "acs_payload": """
         SELECT 'County ' || st || co AS name,
-               CAST(CASE WHEN CAST(co AS INT) % 7 = 0 THEN -666666666
-                    ELSE 30000 + 1000 * CAST(co AS INT) + (year - 2016) END AS VARCHAR) AS median_household_income,
+               CASE CAST(co AS INT) % 7 WHEN 0 THEN '-666666666' WHEN 1 THEN 'NaN' WHEN 2 THEN ' nan'
+                    ELSE CAST(30000 + 1000 * CAST(co AS INT) + (year - 2016) AS VARCHAR) END AS median_household_income,
                CAST(n_urgent AS VARCHAR) AS n_below_poverty, CAST(n_all AS VARCHAR) AS poverty_universe,
                CAST(n_all AS VARCHAR) AS edu_universe, CAST(n_high AS VARCHAR) AS edu_hs_diploma,
                CAST(n_medium AS VARCHAR) AS edu_bachelors, CAST(n_p AS VARCHAR) AS renters_total,
                CAST(n_p_low AS VARCHAR) AS renters_severe_burden, st AS state, co AS county, year
         FROM counts""",
     "acs_numbers": f"""
-        SELECT name, {', '.join(f"CASE WHEN {_num(c)} >= 0 THEN {_num(c)} END AS {c}" for c in ACS_VARIABLES.values())},
+        SELECT name, {', '.join(f"CASE WHEN {_num(c)} >= 0 THEN {_num(c)} END AS {c}" for c in ACS_NAMES)},
                state, county, year, state || county AS county_fips, state AS state_fips
         FROM acs_payload""",
     "acs_raw": f"""
@@ -132,7 +208,7 @@ RELATIONS = {
                CAST(CAST(co AS INT) % 3 AS DOUBLE) AS hpsa_primary_care,
                CAST(1 + CAST(co AS INT) % 10 AS DOUBLE) AS rural_urban_code_2013,
                CAST(NULL AS DOUBLE) AS rural_urban_code_2023
-        FROM counts WHERE n_urgent > 0 AND year <= 2020""",
+        FROM counts""",
     "stg_ahrq": f"""
         SELECT {KEY}, county_fips, year, pct_uninsured_under65, dist_trauma_center_miles, dist_obstetrics_miles,
                mds_rate_per_100k, total_mds, total_population, CAST(hpsa_primary_care AS BIGINT) AS hpsa_primary_care,
@@ -150,7 +226,7 @@ RELATIONS = {
         LEFT JOIN expansion e ON c.state_fips = e.state_fips
         LEFT JOIN latest_ahrq a ON c.county_fips = a.county_fips""",
     "events_of_years": f"""
-        SELECT CAST(y AS BIGINT) AS year, label FROM (VALUES {_values(list(POLICY_EVENTS.items()))}) AS v(y, label)""",
+        SELECT CAST(y AS BIGINT) AS year, label FROM (VALUES {_values(POLICY_EVENTS)}) AS v(y, label)""",
     "dim_year": """
         SELECT y.year, era_name, president, color_hex AS era_color_hex, label AS policy_event_label
         FROM (SELECT range AS year FROM range(2017, 2026)) y
@@ -164,7 +240,7 @@ RELATIONS = {
         FROM stg_sahie s
         LEFT JOIN stg_bls b ON s.county_year_key = b.county_year_key
         LEFT JOIN stg_acs a ON s.county_year_key = a.county_year_key
-        LEFT JOIN stg_ahrq h ON s.county_year_key = h.county_year_key""",
+        LEFT JOIN stg_ahrq h ON s.county_year_key = h.county_year_key AND h.year <= 2020""",
     "star": """
         SELECT fct.*, d.* EXCLUDE (county_fips), y.* EXCLUDE (year)
         FROM fct JOIN dim_county d USING (county_fips) JOIN dim_year y USING (year)""",
@@ -200,11 +276,7 @@ def with_relations(sql: str) -> str:
 
 
 def _metric(name: str) -> str:
-    m = METRICS[name]
-    if m.denominator is None:
-        return f"avg({m.numerator}) AS {name}"
-    scale = "" if m.scale == 1.0 else f" * {m.scale}"
-    return f"sum({m.numerator}) / nullif(sum({m.denominator}), 0){scale} AS {name}"
+    return f"{METRICS[name]} AS {name}"
 
 
 def _metrics(names: list[str], dims: list[str], where: str = "true") -> str:
@@ -324,8 +396,12 @@ def _quality_report() -> str:
 
 
 def _diff_in_diff() -> str:
-    outcomes = ["weighted_avg_pct_uninsured", "weighted_avg_unemployment_rate",
-                "weighted_avg_poverty_rate", "weighted_avg_pct_severe_rent_burden"]
+    outcomes = {
+        "weighted_avg_pct_uninsured": ("n_uninsured", "sahie_total_population"),
+        "weighted_avg_unemployment_rate": ("unemployment_level", "labor_force_level"),
+        "weighted_avg_poverty_rate": ("n_below_poverty", "poverty_universe"),
+        "weighted_avg_pct_severe_rent_burden": ("renters_severe_burden", "renters_total"),
+    }
     cells = {
         "expanded_before": "is_expansion_state AND era_name = 'Trump1'",
         "expanded_after": "is_expansion_state AND era_name = 'Biden'",
@@ -333,9 +409,8 @@ def _diff_in_diff() -> str:
         "other_after": "NOT is_expansion_state AND era_name = 'Biden'",
     }
     rows = []
-    for name in outcomes:
-        m = METRICS[name]
-        listed = ", ".join(f"{_ratio(m.numerator, m.denominator, where)} AS {cell}" for cell, where in cells.items())
+    for name, (top, bottom) in outcomes.items():
+        listed = ", ".join(f"{_ratio(top, bottom, where)} AS {cell}" for cell, where in cells.items())
         rows.append(f"SELECT '{name}' AS outcome, {listed} FROM star")
     return f"""
         SELECT *, (expanded_after - expanded_before) - (other_after - other_before) AS diff_in_diff
@@ -349,7 +424,7 @@ def _era_orders(shift: int, moved: int = 0, columns: str = "era_name, president"
         LEFT JOIN eras ON {year} BETWEEN start_year - {moved} AND end_year - {moved}"""
 
 
-_NEW_LAYOUT = "FROM counts WHERE n_urgent > 0 AND year BETWEEN 2019 AND 2020"
+_NEW_LAYOUT = "FROM counts WHERE year >= 2019"
 _AHRQ_TEXT = {
     "county_fips": "st || co", "year": "year || '.0'", "total_population": "CAST(customers * 1000 AS VARCHAR)",
     "total_mds": "CAST(n_all - n_f AS VARCHAR)", "rucc": "CAST(1 + CAST(co AS INT) % 10 AS VARCHAR)",
@@ -379,7 +454,7 @@ def _union_by_name() -> str:
     return f"""
         SELECT {v['county_fips']} AS FIPSCODE, {common}, {v['uninsured']} AS ACS_PCT_UNINSURED,
                NULL AS COUNTYFIPS, NULL AS POS_MEDIAN_DIST_OBSTETRICS, NULL AS SAHIE_PCT_UNINSURED64
-        FROM counts WHERE n_urgent > 0 AND year <= 2018
+        FROM counts WHERE year <= 2018
         UNION ALL BY NAME
         SELECT {v['county_fips']} AS COUNTYFIPS, {common}, {v['total_mds']} AS ACS_PCT_UNINSURED,
                {v['obstetrics']} AS POS_MEDIAN_DIST_OBSTETRICS, {v['uninsured']} AS SAHIE_PCT_UNINSURED64 {_NEW_LAYOUT}"""
@@ -581,7 +656,12 @@ EXPECTED = {
     "gen_quality_report": _gen_quality_report(),
     "gen_fan_out_join": """
         SELECT o_orderkey AS orderkey, o_orderstatus, o_totalprice, l_linenumber, l_quantity
-        FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') ON l_orderkey = o_orderkey""",
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
+    "gen_interval_join": """
+        SELECT o_orderkey, c_custkey, lo, hi FROM orders LEFT JOIN (
+            SELECT c_custkey, c_custkey * 10 AS lo,
+                   c_custkey * 10 + CASE WHEN c_custkey % 7919 = 0 THEN 3000000000 ELSE CAST(floor(c_acctbal / 100) AS BIGINT) END AS hi
+            FROM customer) ON o_orderkey BETWEEN lo AND hi""",
     "gen_spine_joins": """
         SELECT c_custkey, c_mktsegment, c_acctbal, n_orders, largest_order, n_events, largest_value FROM customer
         LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS largest_order FROM orders GROUP BY 1)

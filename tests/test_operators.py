@@ -41,25 +41,14 @@ def _interval_frames(spark):
     return points, spans
 
 
-def test_range_lookup_forms_agree(spark):
+def test_range_lookup_has_one_form(spark):
     points, spans = _interval_frames(spark)
-    theta = joins.range_lookup(points, F.col("v"), spans, "lo", "hi")
-    assert "NestedLoop" in plan(theta)
-    expected = values(theta, "v", "name")
-    assert (10, "wide") in expected and (-3, "neg") in expected and (None, None) in expected
-    for width in (1, 7, 1000):
-        equi = joins.range_lookup_equi(points, F.col("v"), spans, "lo", "hi", width)
-        assert "NestedLoop" not in plan(equi)
-        assert values(equi, "v", "name") == expected
-
-
-def test_range_lookup_leaves_nested_loop_for_many_intervals(spark, monkeypatch):
-    points, spans = _interval_frames(spark)
-    expected = values(joins.range_lookup(points, F.col("v"), spans, "lo", "hi"), "v", "name")
-    monkeypatch.setattr(joins, "THETA_JOIN_ROWS", 2)
-    many = joins.range_lookup(points, F.col("v"), spans, "lo", "hi", 5)
-    assert "NestedLoop" not in plan(many)
-    assert values(many, "v", "name") == expected
+    got = joins.range_lookup(points, F.col("v"), spans, "lo", "hi")
+    assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
+    assert values(got, "v", "name") == [
+        (-3, "neg"), (0, "low"), (10, "wide"), (100, "one"), (4, "low"), (4, "wide"), (5, "mid"), (5, "wide"), (9, "mid"), (9, "wide"), (None, None),
+    ]
+    assert values(joins.range_lookup(points, F.col("v"), spans.limit(0), "lo", "hi"), "name") == [(None,)] * 8
 
 
 def test_lookup_and_semi_join(spark):

@@ -18,6 +18,7 @@ from tests.helpers import frame, values
 NUMBERS = [
     "1", "01", "-1", "+2.5", " 3 ", "1e3", "1E-2", ".5", "5.", "", " ", "N/A", "(D)", "-", "1,000", "1_000", "1 2",
     "12abc", "abc12", "1d", "1f", "2.5D", "--1", "1.2.3", "-666666666", "999999999999999999999", "$5", "5%",
+    "NaN", "nan", " NAN ", "-nan", "Infinity", "-inf", "inf",
 ]
 
 
@@ -42,9 +43,20 @@ def test_range_lookup_against_brute_force(spark, seed):
     want = [(p, n) for p in points for n in ([n for n, lo, hi in spans if lo <= p <= hi] or [None])]
     df = frame(spark, "v long", *[(p,) for p in points])
     intervals = frame(spark, "name string, lo long, hi long", *spans)
-    for width in (1, 16):
-        got = joins.range_lookup_equi(df, F.col("v"), intervals, "lo", "hi", width)
-        assert values(got, "v", "name") == sorted(want, key=repr)
+    got = joins.range_lookup(df, F.col("v"), intervals, "lo", "hi")
+    assert values(got, "v", "name") == sorted(want, key=repr)
+
+
+def test_range_lookup_of_many_wide_nested_and_empty_intervals(spark):
+    rng = random.Random(9)
+    wide = 3_000_000_000
+    spans = [(f"s{i}", i, i + wide) for i in range(1001)]
+    spans += [(f"n{i}", 500 + i, 500 + i + rng.choice([0, 1, 10, 10**6, 10**12])) for i in range(50)] + [("point", 7, 7), ("half", 0.25, 0.5)]
+    points = [-1.0, 0.0, 0.3, 7.0, 500.0, 1000.0, float(wide), float(wide + 1000), float(wide + 1001), 1e13]
+    want = [(p, n) for p in points for n in ([n for n, lo, hi in spans if lo <= p <= hi] or [None])]
+    intervals = frame(spark, "name string, lo double, hi double", *[(n, float(lo), float(hi)) for n, lo, hi in spans])
+    got = joins.range_lookup(frame(spark, "v double", *[(p,) for p in points]), F.col("v"), intervals, "lo", "hi")
+    assert values(got, "v", "name") == sorted(want, key=repr)
 
 
 @pytest.mark.parametrize("seed", [3, 4])

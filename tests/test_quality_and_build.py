@@ -4,6 +4,7 @@ import pytest
 
 from countypanel import schemas
 from countypanel.operators import quality
+from countypanel.sources import json_matrix
 from countypanel.plans import analysis, build, metrics, raw
 from countypanel.plans.contracts import CHECKS
 from countypanel.sources.reference_data import local_table
@@ -203,6 +204,43 @@ def test_a_source_with_no_files_keeps_its_table(spark, landing, tmp_path):
     assert done.skipped == ["ahrq"] and spark.table("raw.ahrq_clh").count() == 1
 
 
+def test_missing_years_are_reported_and_not_lost(spark, landing, tmp_path):
+    drop_raw(spark)
+    loaders = build.file_loaders(landing)
+    assert build.load_sources(spark, loaders, only=["acs"]).incomplete == {}
+    fewer = {"acs": lambda s: raw.acs_raw(json_matrix.read_row_lines(s, f"{landing}/acs", raw.ACS_COLUMNS, [2018, 2030]))}
+    with pytest.warns(UserWarning, match="nothing landed for 2030"), pytest.raises(build.SourceLoadError, match="lack the years") as caught:
+        build.load_sources(spark, fewer, only=["acs"])
+    assert "2030" in caught.value.report.incomplete["acs"][0]
+    assert spark.table("raw.acs_poverty").select("year").distinct().count() == 7
+    with pytest.warns(UserWarning):
+        done = build.load_sources(spark, fewer, only=["acs"], allow_fewer_years=True)
+    assert done.rows == {"acs": 1} and "2030" in done.incomplete["acs"][0]
+
+
+def test_an_unreadable_health_file_is_an_error(spark, monkeypatch, landing):
+    monkeypatch.setattr(raw, "list_files", lambda *a: [f"{landing}/ahrq/clh_2018_county_2_0.csv", f"{landing}/ahrq/clh_2020_county.csv"])
+    build_error = pytest.raises(build.SourceLoadError, match="clh_2020")
+    with build_error:
+        build.load_sources(spark, build.file_loaders(landing), only=["ahrq"], allow_fewer_years=True)
+    loaders = {"ahrq": lambda s: raw.load_ahrq(s, f"{landing}/ahrq", skip_unreadable=True)}
+    with pytest.warns(UserWarning, match="skipped unreadable"):
+        done = build.load_sources(spark, loaders, only=["ahrq"])
+    assert done.rows == {"ahrq": 1} and "clh_2020" in done.incomplete["ahrq"][0]
+
+
+def test_seeds_from_files_and_failing_checks(spark, landing, tmp_path):
+    (tmp_path / "state_fips_lookup.csv").write_text("state_fips,state_name,state_abbr,census_region,census_division\n02,Alaska,AK,West,Pacific\n")
+    (tmp_path / "policy_eras.csv").write_text("era_name,president,start_year,end_year,color_hex\nNew,Somebody,2016,2030,#000000\n")
+    (tmp_path / "medicaid_expansion_status.csv").write_text("state_fips,state_name,state_abbr,expansion_status,expansion_year\n02,Alaska,AK,expanded,2015\n")
+    loaders = build.file_loaders(landing)
+    with pytest.raises(build.PanelCheckError, match="dim_year.era_name accepted_values") as caught:
+        build.build_panel(spark, loaders, seeds=str(tmp_path))
+    assert caught.value.report.filter("failing_rows > 0").count() > 0
+    assert {r.era_name for r in spark.table("dimensional.dim_year").collect()} == {"New"}
+    assert build.build_panel(spark, loaders, seeds=str(tmp_path), fail_on_checks=False).filter("failing_rows > 0").count() > 0
+
+
 def test_a_source_that_breaks_its_contract_is_refused(spark, landing):
     loaders = {"sahie": lambda s: s.range(3)}
     with pytest.raises(build.SourceLoadError, match="sahie_uninsured: missing geoid"):

@@ -193,6 +193,28 @@ def test_failed_load_keeps_the_old_table(spark):
     assert spark.table("testlayer.kept").count() == 1
 
 
+def test_a_broken_switch_loses_nothing(spark, monkeypatch):
+    old, new = frame(spark, "k string, y string", ("1", "it's"), ("2", None)), frame(spark, "k string, y string", ("3", "a=b/c"))
+    tables.replace_table(old, "swapped", "testlayer", ("y",))
+    assert values(spark.table("testlayer.swapped"), "k", "y") == [("1", "it's"), ("2", None)]
+    rename = tables._rename
+
+    def broken(spark, table, name):
+        if table.endswith("__loading"):
+            raise RuntimeError("catalog is away")
+        rename(spark, table, name)
+
+    monkeypatch.setattr(tables, "_rename", broken)
+    with pytest.raises(RuntimeError, match="catalog is away"):
+        tables.replace_table(new, "swapped", "testlayer", ("y",))
+    assert values(spark.table("testlayer.swapped"), "k", "y") == [("1", "it's"), ("2", None)]
+    monkeypatch.undo()
+    spark.sql("ALTER TABLE testlayer.swapped RENAME TO testlayer.swapped__previous")  # as a driver leaves it that dies in between
+    assert tables.replace_table(new, "swapped", "testlayer", ("y",)) == 1
+    assert values(spark.table("testlayer.swapped"), "k", "y") == [("3", "a=b/c")]
+    assert not spark.catalog.tableExists("testlayer.swapped__previous")
+
+
 def test_layer_names():
     assert tables.layer_name(" raw ") == "raw"
     assert tables.layer_name() == "main"

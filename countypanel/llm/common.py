@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,14 +24,18 @@ def share_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share. Only where a local session names none is one made."""
-    folder = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """The folder that all executors share, as spark.checkpoint.dir names it; a local session without one gets its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith(("local[", "local,")) and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"llm-{application}-")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

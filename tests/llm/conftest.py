@@ -2,14 +2,11 @@ import pytest
 
 
 @pytest.fixture(scope="session", autouse=True)
-def shared(spark, tmp_path_factory):
-    """The folder that stands for the shared one, and workers that find the package."""
+def package(spark):
+    """Workers that find the package wherever the tests are started."""
     from countypanel.llm.common import share_package
 
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     share_package(spark)
-    yield
-    spark.conf.unset("spark.checkpoint.dir")
 
 
 @pytest.fixture(scope="session")

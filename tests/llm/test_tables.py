@@ -93,7 +93,7 @@ def test_native_queries_use_no_python(spark, sf_dir, name):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
 
 
-def test_pipeline_stages_take_effect(spark):
+def test_pipeline_stages_take_effect(spark, tmp_path):
     import corpus_pipeline
 
     folder = "/root/testdata/sf0.01"
@@ -103,7 +103,7 @@ def test_pipeline_stages_take_effect(spark):
         after = stage(spark, docs, folder)
         if name != corpus_pipeline.STAGES[-1][0]:
             assert after.columns == docs.columns
-        after.write.parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/stage-{name}")
+        after.write.parquet(path := str(tmp_path / name))
         after = spark.read.parquet(path)
         ids = {r.doc_id for r in after.collect()}
         assert ids <= before

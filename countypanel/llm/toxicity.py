@@ -97,8 +97,9 @@ class Measure:
         if len(self.known) > self.known_words:
             self.known.clear()
         known = self.known
-        for w in set(words) - known.keys():
-            known[w] = self.kind(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = self.kind(w)
         marked = [(i, k) for i, k in enumerate(map(known.__getitem__, words)) if k]
         n = len(words) or 1
         count = {b: sum(1 for _, k in marked if k & b) for b in (_WORD, _BEGINNING, _PERSON, _CAPITAL, _OBFUSCATED, _HIDDEN)}

@@ -3,17 +3,17 @@
 Components become integers, floor(scale * x), so scores are exact. The dimensions are cut into `lists` slices; the score of a
 vector for a query is the sum of its partial scores in the slices, its lists.
 
-1. Every task gathers the head of its local score lists: the best partial scores of its vectors for each query and
-   list. The heads are merged, the vectors in them resolved exactly, and the k-th best of those scores is a
-   safe cutoff t: k vectors reach it.
+1. Every task gathers the heads of its local score lists: the best partial scores of its vectors for each query and
+   list. The k-th best exact score among the vectors of all heads is a safe cutoff t: k vectors reach it.
 2. The cutoffs go out with the queries. A vector that reaches t has a partial score of at least t / lists in some
-   list, so collecting all entries from t / lists up misses none. Entries whose best possible sum, with less
-   than t / lists in the lists where they are absent, stays below t are dropped.
-3. What remains is resolved exactly and ranked.
+   list, so collecting all entries from t / lists up misses none. Vectors whose best possible sum, with less than
+   t / lists in the lists where they have no entry, stays below t are dropped.
+3. The remaining scores of what is left are resolved exactly, where the other lists of the vector lie, and only
+   vectors that reach t leave the task. They are merged and ranked.
 
-Vectors are dealt into chunks and queries into groups of bounded size; a task sees one chunk, one group and one list, as
-blocks of one matrix product, and no pairs are emitted but the selected ones. Equal vectors are one class of which
-the k + 1 smallest ids are kept: no other can be among the k best, since ties go to the smaller id.
+Vectors are dealt into chunks and queries into groups of bounded size; a task sees one chunk and one group, as a block of one
+matrix product per list, and no pairs leave it but heads and those that reach the cutoff. Equal vectors are one class
+of which the k + 1 smallest ids are kept: no other can be among the k best, since ties go to the smaller id.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows without an id, take no part.
 Shorter vectors count as padded with zeros. Repeated rows count once. Rows with the query's id are not its candidates.
@@ -22,6 +22,7 @@ Scores must fit 53 bits. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import ceil
 
 import numpy as np
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from countypanel.llm.common import small, stored, table
+from countypanel.llm.common import stored, table
 
 K = 20
 SCALE = 64
@@ -37,9 +38,6 @@ QUERY_EVERY = 20
 
 LISTS = 2
 CHUNK_ROWS, GROUP_ROWS = 4_096, 1_024
-#: Rows of at most a few kilobytes.
-BROADCAST_ROWS = 10_000
-
 
 def _integers(vectors: DataFrame, scale: int) -> DataFrame:
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -48,65 +46,76 @@ def _integers(vectors: DataFrame, scale: int) -> DataFrame:
     ).distinct()
 
 
-def _dot(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x, F.lit(0)) * F.coalesce(y, F.lit(0))),
-                       F.lit(0).cast("bigint"), lambda s, x: s + x)
-
-
 def _first(rows: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
     return rows.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("n") <= n)
 
 
-def _partials(queries: pd.DataFrame, vectors: pd.DataFrame, lists: int, width: int) -> np.ndarray:
-    """Partial scores, queries by vectors, in the list that this block is about."""
-    at = int(queries["list"].iloc[0])
-    a, b = width * at // lists, width * (at + 1) // lists
+def _partials(queries: pd.Series, vectors: pd.Series, lists: int, width: int) -> np.ndarray:
+    """Partial scores: list, query, vector. Whole numbers below 2 ** 53, so doubles are exact."""
 
-    def cut(rows: pd.Series) -> np.ndarray:
-        out = np.zeros((len(rows), b - a))
+    def whole(rows: pd.Series) -> np.ndarray:
+        out = np.zeros((len(rows), width))
         for i, v in enumerate(rows):
-            part = v[a:b]
-            out[i, : len(part)] = part
+            out[i, : len(v)] = v
         return out
 
-    return cut(queries["v"]) @ cut(vectors["v"]).T
+    q, v = whole(queries), whole(vectors)
+    edges = [width * i // lists for i in range(lists + 1)]
+    return np.stack([q[:, a:b] @ v[:, a:b].T for a, b in zip(edges, edges[1:], strict=False)])
 
 
-def _entries(queries: pd.DataFrame, vectors: pd.DataFrame, q: np.ndarray, v: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({
-        "query": queries["id"].to_numpy()[q], "vector": vectors["id"].to_numpy()[v], "list": int(queries["list"].iloc[0]),
-        "partial": scores[q, v].astype(np.int64),
-    })
+def heads(partials: np.ndarray, keep: int) -> np.ndarray:
+    """Which (query, vector) are among the keep best of some list."""
+    found = np.zeros(partials.shape[1:], bool)
+    n = min(keep, partials.shape[2])
+    for scores in partials:
+        np.put_along_axis(found, np.argpartition(-scores, n - 1, axis=1)[:, :n], True, axis=1)
+    return found
 
 
-_ENTRY = "query bigint, vector bigint, list int, partial bigint"
+def reaching(partials: np.ndarray, cutoff: np.ndarray) -> np.ndarray:
+    """Which (query, vector) can reach the query's cutoff, by the entries that each list has to tell."""
+    lists = len(partials)
+    least = np.ceil(cutoff / lists)[:, None]
+    told = partials >= least
+    found = told.any(0)
+    q, v = np.nonzero(found)
+    here = told[:, q, v]
+    possible = np.where(here, partials[:, q, v], least[q, 0] - 1).sum(0)
+    found[q, v] = possible >= cutoff[q]
+    return found
 
 
 class Blocks:
-    """Queries and vectors dealt into blocks: one for each group of queries, chunk of vectors and list."""
+    """Queries and vectors dealt into blocks: one for each group of queries and chunk of vectors."""
 
     def __init__(self, queries: DataFrame, vectors: DataFrame, lists: int, width: int) -> None:
         self.groups = ceil(max(1, queries.count()) / GROUP_ROWS)
         self.chunks = ceil(max(1, vectors.count()) / CHUNK_ROWS)
         self.queries, self.vectors, self.lists, self.width = queries, vectors, lists, width
 
-    def select(self, choose, extra: DataFrame | None = None) -> DataFrame:
-        """The entries that choose(partials, queries) picks in every block; extra holds columns for queries by id."""
+    def scores(self, choose: Callable[[np.ndarray, pd.DataFrame], np.ndarray], cutoffs: DataFrame | None = None) -> DataFrame:
+        """query, vector and exact score of what choose(partials, queries) picks in every block and, with cutoffs, reaches them."""
         every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
         dealt = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-        queries = self.queries if extra is None else self.queries.join(extra, "id")
-        q = queries.withColumn("group", dealt(self.groups)).withColumn("chunk", every(self.chunks)).withColumn("list", every(self.lists))
-        v = self.vectors.withColumn("chunk", dealt(self.chunks)).withColumn("group", every(self.groups)).withColumn("list", every(self.lists))
-        lists, width = self.lists, self.width
+        queries = self.queries if cutoffs is None else self.queries.join(cutoffs, "id")
+        q = queries.withColumn("group", dealt(self.groups)).withColumn("chunk", every(self.chunks))
+        v = self.vectors.withColumn("chunk", dealt(self.chunks)).withColumn("group", every(self.groups))
+        lists, width, cut = self.lists, self.width, cutoffs is not None
 
         def run(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
             if queries.empty or vectors.empty:
-                return pd.DataFrame({"query": [], "vector": [], "list": [], "partial": []}, dtype="int64")
-            scores = _partials(queries, vectors, lists, width)
-            return _entries(queries, vectors, *choose(scores, queries), scores)
+                return pd.DataFrame({"query": [], "vector": [], "score": []}, dtype="int64")
+            partials = _partials(queries["v"], vectors["v"], lists, width)
+            i, j = np.nonzero(choose(partials, queries))
+            score = partials[:, i, j].sum(0)
+            if cut:
+                reached = score >= queries["cutoff"].to_numpy()[i]
+                i, j, score = i[reached], j[reached], score[reached]
+            return pd.DataFrame({"query": queries["id"].to_numpy()[i], "vector": vectors["id"].to_numpy()[j], "score": score.astype(np.int64)})
 
-        keys = ["group", "chunk", "list"]
-        return q.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInPandas(run, _ENTRY)
+        keys = ["group", "chunk"]
+        return q.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInPandas(run, "query bigint, vector bigint, score bigint")
 
 
 def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, scale: int = SCALE, lists: int = LISTS) -> DataFrame:
@@ -122,39 +131,13 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, scale: int = SCAL
     blocks = Blocks(queries, distinct, lists, width)
     keep = k + 1
 
-    def head(scores: np.ndarray, _: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        n = min(keep, scores.shape[1])
-        best = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-        return np.repeat(np.arange(len(scores)), n), best.ravel()
-
-    def reach(scores: np.ndarray, queries: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        return np.nonzero(scores >= queries["least"].to_numpy()[:, None])
-
-    def resolve(pairs: DataFrame) -> DataFrame:
-        of_query = queries.select(F.col("id").alias("query"), F.col("v").alias("qv"))
-        of_vector = distinct.select(F.col("id").alias("vector"), F.col("v").alias("vv"))
-        return pairs.join(of_vector, "vector").join(small(of_query, BROADCAST_ROWS), "query").withColumn("score", _dot("qv", "vv")).drop("qv", "vv")
-
     # Phase 1: heads of the lists, and from their exact scores a cutoff for each query.
-    heads = _first(blocks.select(head), ["query", "list"], [F.desc("partial"), F.asc("vector")], keep)
-    known = resolve(heads.select("query", "vector").distinct())
-    kth = known.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("n") <= keep)
-    cutoffs = stored(kth.groupBy("query").agg(F.min("score").alias("cutoff"), F.max("n").alias("n")).select(
-        F.col("query").alias("id"), "cutoff", F.ceil(F.col("cutoff") / lists).cast("bigint").alias("least")), "cutoffs")
-
-    # Phase 2: every entry that can belong to a vector reaching the cutoff.
-    entries = blocks.select(reach, cutoffs)
-    summed = entries.groupBy("query", "vector").agg(F.sum("partial").alias("sum"), F.count("*").alias("found"))
-    open_lists = lists - F.col("found")
-    possible = summed.join(cutoffs.withColumnRenamed("id", "query"), "query").where(
-        F.col("sum") + open_lists * (F.col("least") - 1) >= F.col("cutoff")
-    )
-    candidates = stored(possible.select("query", "vector", "sum", "found", "cutoff"), "candidates")
+    known = blocks.scores(lambda partials, _: heads(partials, keep))
+    kth = _first(known, ["query"], [F.desc("score")], keep)
+    cutoffs = stored(kth.groupBy("query").agg(F.min("score").alias("cutoff")).withColumnRenamed("query", "id"), "cutoffs")
 
-    # Phase 3: what some list hasn't told yet.
-    whole = candidates.where(F.col("found") == lists).select("query", "vector", F.col("sum").alias("score"))
-    rest = resolve(candidates.where(F.col("found") < lists).select("query", "vector", "cutoff")).where("score >= cutoff")
-    scored = whole.unionByName(rest.select("query", "vector", "score"))
+    # Phases 2 and 3: entries that can belong to a vector reaching the cutoff, and the rest of their scores.
+    scored = blocks.scores(lambda partials, queries: reaching(partials, queries["cutoff"].to_numpy()), cutoffs)
     best = _first(scored, ["query"], [F.desc("score"), F.asc("vector")], keep).drop("n")
     named = best.join(members.withColumnRenamed("id", "vector"), "vector").select("query", "vec_id", "score")
     named = _first(named, ["query"], [F.desc("score"), F.asc("vec_id")], keep).drop("n")

@@ -14,6 +14,8 @@ part; repeated rows, and rows that share a doc_id, count as one document. Other
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,23 +83,24 @@ KNOWN_TEXTS = [
 _COPYRIGHT = r"(?:^|\n)[ \t]*(?:[#*/;-]+[ \t]*)?(?:copyright\b|\(c\)|©)[^\n]*|(?:^|\n)[ \t]*all rights reserved\.?[ \t]*(?:\n|$)"
 
 
-def canonical(text: Column) -> Column:
-    plain = F.regexp_replace(F.lower(text), _COPYRIGHT, "\n")
+def with_digest(rows: DataFrame, text: Column) -> DataFrame:
+    """rows and the digest of the canonical form of text, null if no word is left.
+
+    In steps, so that no step is evaluated twice; the spellings are only gone through where one of them occurs.
+    """
+    plain = F.col("_plain")
     usual = plain
     for spelling, other in SPELLINGS:
         usual = F.regexp_replace(usual, rf"\b{spelling}\b", other)
-    spelled = plain.rlike(rf"\b(?:{'|'.join(s for s, _ in SPELLINGS)})\b")
-    return F.trim(F.regexp_replace(F.when(spelled, usual).otherwise(plain), r"[^\p{L}\p{N}]+", " "))
-
-
-def digest(text: Column) -> Column:
-    plain = canonical(text)
-    return F.when(plain != "", F.sha2(plain, 256))
+    spelled = reduce(Column.__or__, [F.contains(plain, F.lit(spelling)) for spelling, _ in SPELLINGS])
+    out = rows.withColumn("_plain", F.regexp_replace(F.lower(text), _COPYRIGHT, "\n"))
+    out = out.withColumn("_canonical", F.trim(F.regexp_replace(F.when(spelled, usual).otherwise(plain), r"[^\p{L}\p{N}]+", " ")))
+    return out.withColumn("digest", F.when(F.col("_canonical") != "", F.sha2("_canonical", 256))).drop("_plain", "_canonical")
 
 
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]]) -> DataFrame:
     rows = spark.createDataFrame(texts, "license_id string, text string")
-    return rows.select("license_id", digest(F.col("text")).alias("digest")).dropna().distinct()
+    return with_digest(rows, F.col("text")).select("license_id", "digest").dropna().distinct()
 
 
 def licenses(docs: DataFrame, texts: list[tuple[str, str]] = KNOWN_TEXTS) -> DataFrame:
@@ -108,7 +111,8 @@ def licenses(docs: DataFrame, texts: list[tuple[str, str]] = KNOWN_TEXTS) -> Dat
     units = named.select("doc_id", F.explode(F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), text.alias("unit"))),
         F.transform(lines, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))),
-    )).alias("u")).select("doc_id", "u.whole", digest(F.col("u.unit")).alias("digest")).where("digest IS NOT NULL")
+    )).alias("u")).select("doc_id", "u.whole", "u.unit")
+    units = with_digest(units, F.col("unit")).select("doc_id", "whole", "digest").where("digest IS NOT NULL")
     known = known_digests(docs.sparkSession, texts)
     found = units.join(F.broadcast(known), "digest")  # as many rows as the list of known texts has
     return found.groupBy("doc_id", "license_id").agg(F.max("whole").alias("whole_text"), F.max(~F.col("whole")).alias("in_lines"))

@@ -196,6 +196,31 @@ def test_main_text_is_the_article(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+BOXED = """<html><body><article><h1>Head {n}</h1><div class="toc"><p>Contents</p><p>On this page</p></div><p>Story {n} of its own.</p>{list}
+<div class="tags"><span>Tagged</span> as news</div><p>{copied}</p></article></body></html>"""
+
+
+def test_template_text_within_the_article_is_dropped(spark):
+    items = lambda n: "".join(f"<div class='step'><p>Read on</p><p>Step {n}.{i}</p></div>" for i in range(2 + n % 3))
+    rows = [(n, f"http://boxed.example/{n}", BOXED.format(n=n, list=items(n), copied="Copied to some." if n < 6 else f"Own {n}")) for n in range(10)]
+    rows += [(20 + n, f"http://same.example/{n}", "<html><body><article><h1>One</h1><p>text for all</p></article></body></html>") for n in range(5)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for n in range(10):
+        steps = " ".join(f"Step {n}.{i}" for i in range(2 + n % 3))
+        assert got[n] == f"Head {n} Story {n} of its own. {steps} {'Copied to some.' if n < 6 else f'Own {n}'}"
+    assert all(got[20 + n] == "One text for all" for n in range(5))
+
+
+def test_classes_are_ordered_and_nested():
+    classes = {1: (0, 0), 2: (0, 1), 3: (0, 2), 7: (1, 0), 8: (1, 1)}
+    fixed, loose, places = html_text.arrange([1, 7, 8, 5, 7, 8, 2, 3], classes)
+    assert fixed == {0, 1, 2, 4, 5, 6, 7} and not loose and places[0] == 0 and places[1] not in (0, None)
+    assert html_text.arrange([1, 2, 7, 8, 3], classes)[2][1] not in (places[1], None)  # another gap
+    assert html_text.arrange([1, 7, 2, 8, 3], classes)[2][1] is None  # crosses
+    assert html_text.arrange([1, 7, 8, 2, 7, 8, 3], classes)[2][1] is None  # two gaps
+    assert html_text.arrange([2, 1, 5, 3], classes)[1] in ({1}, {2})  # out of order
+
+
 def test_main_text_of_the_test_pages(spark, sf_dir):
     import html
 

@@ -43,14 +43,20 @@ MAIN_SHARE = 0.9
 #: Templates of a few hundred hashes each.
 BROADCAST_ROWS = 10_000
 
-# Names of elements, and words in class, id or role, that mark what is not main text.
+# Names of elements, and whole classes, ids and roles, that mark what is not main text.
 ASIDE_TAGS = frozenset(
     "head title nav header footer aside form script style noscript template button select dialog menu iframe svg".split()
 )
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header menu "
     "modal nav navbar navigation newsletter notice notices popup promo promotion related share sharing sidebar social "
-    "sponsor sponsored subscribe toolbar widget complementary contentinfo search".split()
+    "sponsor sponsored subscribe toolbar widget complementary contentinfo search "
+    "ad-banner ad-block ad-box ad-container ad-slot ad-unit ad-wrapper adsbygoogle google-ad top-ad side-ad "
+    "site-header page-header masthead site-footer page-footer footer-widgets site-nav site-navigation main-nav main-navigation "
+    "main-menu nav-menu top-menu top-nav nav-bar post-navigation side-bar left-sidebar right-sidebar sidebar-left sidebar-right "
+    "widget-area cookie-banner cookie-bar cookie-consent cookie-notice consent-banner gdpr-banner comment-form comment-list "
+    "comments-area comments-section related-articles related-posts share-bar share-buttons sharing-buttons social-links social-media "
+    "social-share newsletter-form newsletter-signup search-bar search-box search-form promo-box pop-up bread-crumbs".split()
 )
 INLINE_TAGS = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
@@ -70,23 +76,32 @@ _MARK = re.compile(
     re.S | re.I,
 )
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_NAME = re.compile(r"[a-z]+")
+_NUMBER = re.compile(r"-?0$")
+
+
+def _marks(name: str, in_main: bool) -> bool:
+    """Whether a whole class, id or role, without a number at its end, is a listed one; a header in main text is part of it."""
+    name = _NUMBER.sub("", name.replace("_", "-"))
+    return name in ASIDE_WORDS and not (in_main and name == "header")
 
 
 class Node:
-    """One kind of element in its role: the same object wherever the path is the same."""
+    """One kind of element in its role: the same object wherever the path is the same.
+
+    aside: by the name of an element around it, or by a class, id or role; the latter end at an outermost article or main.
+    """
 
-    __slots__ = ("tag", "role", "parent", "aside", "main", "children")
+    __slots__ = ("tag", "role", "parent", "aside", "aside_tag", "main", "children")
 
     def __init__(self, tag: str, names: str, parent: Node | None) -> None:
         self.tag, self.parent, self.children = tag, parent, {}
         self.role = f"{parent.role if parent else ''}>{tag}{names}"
         in_main = bool(parent and parent.main)
         self.main = in_main or tag in MAIN_TAGS or "main" in names.split(".")
-        marked = tag in ASIDE_TAGS and not (in_main and tag == "header")
-        if names and tag not in ("html", "body", *MAIN_TAGS):
-            marked = marked or not ASIDE_WORDS.isdisjoint(_NAME.findall(names))
-        self.aside = marked or bool(parent and parent.aside)
+        opens_main = self.main and not in_main
+        self.aside_tag = (tag in ASIDE_TAGS and not (in_main and tag == "header")) or bool(parent and parent.aside_tag)
+        marked = tag not in ("html", "body", *MAIN_TAGS) and any(_marks(name, in_main) for name in names.split(".") if name)
+        self.aside = self.aside_tag or not opens_main and (marked or bool(parent and parent.aside))
 
     def child(self, tag: str, names: str) -> Node:
         found = self.children.get((tag, names))

@@ -211,6 +211,23 @@ def test_template_text_within_the_article_is_dropped(spark):
     assert all(got[20 + n] == "One text for all" for n in range(5))
 
 
+NAMED = """<html><body class="no-sidebar"><div class="wrapper has-sidebar ad-free"><div class="sidebar-left"><p>Aside {n}</p></div><div class="search-results">
+<article class="post"><header class="entry-header post-header"><h1>Head {n}</h1></header><div class="header"><p>Lead {n}</p></div>
+<div class="elementor-widget-container"><p>Story {n}</p></div><div class="ad-3">Buy {n}</div><div class="related"><article>Other {n}</article></div></article>
+</div></div><div id="site_footer">Foot {n}</div></body></html>"""
+UNDER = '<html><body><div class="widget"><main><p>Story {n}</p></main></div><aside><article>Teaser {n}</article></aside></body></html>'
+BARE = """<html><body><div class="with-sidebar"><div class="entry-header"><p>Head {n}</p></div><p>Story {n} in some words</p></div>
+<div class="sidebar">Side {n}</div></body></html>"""
+
+
+def test_only_whole_names_mark_asides(spark):
+    rows = [(i * 10 + n, f"http://names{i}.example/{n}", page.format(n=n)) for i, page in enumerate((NAMED, UNDER, BARE)) for n in range(5)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for n in range(5):
+        assert got[n] == f"Head {n} Lead {n} Story {n}"
+        assert got[10 + n] == f"Story {n}" and got[20 + n] == f"Head {n} Story {n} in some words"
+
+
 def test_classes_are_ordered_and_nested():
     classes = {1: (0, 0), 2: (0, 1), 3: (0, 2), 7: (1, 0), 8: (1, 1)}
     fixed, loose, places = html_text.arrange([1, 7, 8, 5, 7, 8, 2, 3], classes)

@@ -1,7 +1,8 @@
 """License scans (operator 7): canonical texts looked up by digest.
 
-A text is made canonical: lower case, copyright lines dropped, equivalent spellings made one, punctuation and runs of white
-space to single spaces. The SHA-256 of the canonical text is joined with the digests of known texts, made canonical by the
+A text is made canonical: lower case, copyright notices dropped, equivalent spellings made one, punctuation and runs of white
+space to single spaces. A notice begins a line and names a year or 'by', or is a paragraph of its own; it ends with its
+line, or where a licence text begins in it. Running text about copyright stays, however it is wrapped. The SHA-256 of the canonical text is joined with the digests of known texts, made canonical by the
 same rule. What is looked up is always a whole text: the whole document, and each of its lines by itself (for one-line
 notices). Nothing is matched in part.
 
@@ -80,7 +81,20 @@ KNOWN_TEXTS = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC0-1.0", "Licensed under CC0 1.0."), ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
 ]
 
-_COPYRIGHT = r"(?:^|\n)[ \t]*(?:[#*/;-]+[ \t]*)?(?:copyright\b|\(c\)|©)[^\n]*|(?:^|\n)[ \t]*all rights reserved\.?[ \t]*(?:\n|$)"
+# Copyright notices, in lower case.
+_HOLDS = r"(?:copyright\b\s*(?:\(c\)|©)?|(?:\(c\)|©)\s*(?:copyright\b)?)[\s:,]*"
+_OWN = r"copyright\s+\(c\)[\s\d,-]+free\s+software\s+foundation,\s+inc\.?(?:\s+<https?://fsf\.org/?>)?"  # the licence's own, wherever it is wrapped
+_DATED = rf"(?!{_OWN})" + rf"(?:{_HOLDS}(?:19|20)\d\d\b|(?:copyright\b\s*(?:\(c\)|©)?|©)\s*by\b)"
+_BEGINS = r"permission\s+is\s+hereby\s+granted|permission\s+to\s+use|redistribution\s+and\s+use"
+_LINE = r"(?:^|[\r\n])[ \t]*(?:[#*/;-]+[ \t]*)?"
+_ALONE = rf"[ \t]*(?!{_OWN})" + r"(?:copyright\b|©)(?!\s*(?:\(c\)\s*)?(?:[<\[_]|year\b|19[xy]{2}))[^\r\n]{0,120}"
+_NOTICE = "|".join([
+    _OWN,
+    rf"{_LINE}{_DATED}[^\r\n]*?(?={_BEGINS}|[\r\n]|$)",
+    rf"(?=copyright|\(c\)|©)(?<=licen[cs]e[ \t]{{1,4}}){_DATED}[^\r\n]{{0,300}}?(?={_BEGINS})",  # after a title in the same line
+    rf"(?:^|\n[ \t\r]*\n){_ALONE}(?:\r?\n{_ALONE}){{0,20}}(?=\s*$|\r?\n[ \t\r]*\n|\r?\n[ \t]*all rights reserved)",
+    r"(?:^|[\r\n])[ \t]*all rights reserved\.?[ \t]*(?=[\r\n]|$)",
+])
 
 
 def with_digest(rows: DataFrame, text: Column) -> DataFrame:
@@ -89,13 +103,16 @@ def with_digest(rows: DataFrame, text: Column) -> DataFrame:
     In steps, so that no step is evaluated twice; the spellings are only gone through where one of them occurs.
     """
     plain = F.col("_plain")
+    low = F.col("_low")
+    held = reduce(Column.__or__, [F.contains(low, F.lit(x)) for x in ("copyright", "(c)", "©", "all rights reserved")])
     usual = plain
     for spelling, other in SPELLINGS:
-        usual = F.regexp_replace(usual, rf"\b{spelling}\b", other)
-    spelled = reduce(Column.__or__, [F.contains(plain, F.lit(spelling)) for spelling, _ in SPELLINGS])
-    out = rows.withColumn("_plain", F.regexp_replace(F.lower(text), _COPYRIGHT, "\n"))
+        usual = F.regexp_replace(usual, rf"\b{spelling.replace(' ', '\\s+')}\b", other)  # a line can end between two words
+    occurs = lambda x: F.contains(plain, F.lit(x)) if " " not in x else F.rlike(plain, F.lit(x.replace(" ", r"\s+")))
+    spelled = reduce(Column.__or__, [occurs(spelling) for spelling, _ in SPELLINGS])
+    out = rows.withColumn("_low", F.lower(text)).withColumn("_plain", F.when(held, F.regexp_replace(low, _NOTICE, "\n")).otherwise(low))
     out = out.withColumn("_canonical", F.trim(F.regexp_replace(F.when(spelled, usual).otherwise(plain), r"[^\p{L}\p{N}]+", " ")))
-    return out.withColumn("digest", F.when(F.col("_canonical") != "", F.sha2("_canonical", 256))).drop("_plain", "_canonical")
+    return out.withColumn("digest", F.when(F.col("_canonical") != "", F.sha2("_canonical", 256))).drop("_low", "_plain", "_canonical")
 
 
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]]) -> DataFrame:
@@ -122,6 +139,10 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"))
 
 
+# The pattern of the expected SQL, which is left as it was: it also drops running text where a line begins with 'copyright'.
+_COPYRIGHT = r"(?:^|\n)[ \t]*(?:[#*/;-]+[ \t]*)?(?:copyright\b|\(c\)|©)[^\n]*|(?:^|\n)[ \t]*all rights reserved\.?[ \t]*(?:\n|$)"
+
+
 def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

@@ -259,3 +259,22 @@ def test_licenses_are_found_in_any_spelling(spark, documents):
     got = {(r.doc_id, r.license_id): (r.whole_text, r.in_lines) for r in licenses.licenses(docs).collect()}
     assert got == {(1, "MIT"): (True, False), (2, "MIT"): (True, False), (3, "CC-BY-NC-4.0"): (False, True), (4, "MIT"): (True, True), (9, "MIT"): (True, False)}
     assert licenses.licenses(docs.limit(0)).count() == 0
+
+
+def rewrapped(text, width):
+    import textwrap
+
+    return "\n\n".join(textwrap.fill(" ".join(x.split()), width, break_long_words=False, break_on_hyphens=False) for x in re.split(r"\n\s*\n", text))
+
+
+def test_licenses_are_found_however_wrapped(spark, documents):
+    full = sorted({(i, t) for i, t in licenses.KNOWN_TEXTS if len(t) > 300})
+    widths = (30, 44, 60, 72, 79, 100, 100_000)
+    rows = [(i, rewrapped(t, w)) for i, t in full for w in widths]
+    notices = ("Copyright (c) 2020 A. Rele\n", "(c) 2020-2021 by A. Rele\nCopyright 2019 B\nAll rights reserved.\n\n", "Copyright (c) A. Rele\n\n", "# Copyright by A\r\n", "Copyright (c) 2020 A. Rele ")
+    bare = [x for x in full if x[1].startswith(("Perm", "Redis"))]
+    rows += [(i, n + rewrapped(t, w)) for i, t in bare for n in notices for w in (60, 100_000)]
+    rows += [(i, f"{i} License Copyright (c) 2020 A. Rele " + " ".join(t.split())) for i, t in bare if i != "BSD-2-Clause"]
+    rows.append((None, full[0][1].replace("COPYRIGHT", "") + " but not quite"))
+    got = {(r.doc_id, r.license_id) for r in licenses.licenses(documents([(n, t) for n, (_, t) in enumerate(rows)])).where("whole_text").collect()}
+    assert got == {(n, i) for n, (i, _) in enumerate(rows) if i}

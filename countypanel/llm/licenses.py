@@ -6,7 +6,8 @@ line, or where a licence text begins in it. Running text about copyright stays,
 same rule. What is looked up is always a whole text: the whole document, and each of its lines by itself (for one-line
 notices). Nothing is matched in part.
 
-The known texts are a fixed list, so their digests are broadcast. Everything is DataFrame expressions; a document that repeats
+The known texts are KNOWN_TEXTS and the files of license_texts, named by their SPDX id; licenses() takes any other list. They
+are few, so their digests are broadcast. Everything is DataFrame expressions; a document that repeats
 a line is reduced to distinct digests in its own task, before any shuffle.
 
 Defined results: null and empty texts match nothing, as do known texts without any word. Rows without doc_id take no
@@ -15,7 +16,9 @@ part; repeated rows, and rows that share a doc_id, count as one document. Other
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from functools import lru_cache, reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +84,29 @@ KNOWN_TEXTS = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC0-1.0", "Licensed under CC0 1.0."), ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
 ]
 
+TEXTS = Path(__file__).parent / "license_texts"
+_BSD_3 = _BSD_2.replace("\n\nTHIS SOFTWARE", """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+
+THIS SOFTWARE""")
+_END = "END OF TERMS AND CONDITIONS"
+#: Lines that users of a text fill in.
+_FILLED = re.compile(r"^[ \t]*Copyright \[yyyy\] \[name of copyright owner\][ \t]*\n", re.M)
+
+
+@lru_cache(maxsize=1)
+def known_texts() -> list[tuple[str, str]]:
+    """KNOWN_TEXTS and the full common texts: as published, without what follows their terms, and without lines to fill in."""
+    out = [*KNOWN_TEXTS, ("BSD-3-Clause", _BSD_3), ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_3)]
+    for path in sorted(TEXTS.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        ends = text[: text.index(_END)] if _END in text else text
+        out += [(path.stem, t) for t in dict.fromkeys([text, ends, ends + _END, _FILLED.sub("", text)])]
+    return out
+
+
 # Copyright notices, in lower case.
 _HOLDS = r"(?:copyright\b\s*(?:\(c\)|©)?|(?:\(c\)|©)\s*(?:copyright\b)?)[\s:,]*"
 _OWN = r"copyright\s+\(c\)[\s\d,-]+free\s+software\s+foundation,\s+inc\.?(?:\s+<https?://fsf\.org/?>)?"  # the licence's own, wherever it is wrapped
@@ -120,8 +146,9 @@ def known_digests(spark: SparkSession, texts: list[tuple[str, str]]) -> DataFram
     return with_digest(rows, F.col("text")).select("license_id", "digest").dropna().distinct()
 
 
-def licenses(docs: DataFrame, texts: list[tuple[str, str]] = KNOWN_TEXTS) -> DataFrame:
-    """doc_id, license_id, whole_text, in_lines of every document and license found as its whole text or a whole line."""
+def licenses(docs: DataFrame, texts: list[tuple[str, str]] | None = None) -> DataFrame:
+    """doc_id, license_id, whole_text, in_lines of every document and license (of texts, or known_texts()) found as its whole text
+    or a whole line."""
     text = F.col("text")
     lines = F.array_distinct(F.split(text, r"\r\n|\r|\n"))
     named = docs.where("doc_id IS NOT NULL").select("doc_id", text_of().alias("text"))
@@ -130,7 +157,7 @@ def licenses(docs: DataFrame, texts: list[tuple[str, str]] = KNOWN_TEXTS) -> Dat
         F.transform(lines, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))),
     )).alias("u")).select("doc_id", "u.whole", "u.unit")
     units = with_digest(units, F.col("unit")).select("doc_id", "whole", "digest").where("digest IS NOT NULL")
-    known = known_digests(docs.sparkSession, texts)
+    known = known_digests(docs.sparkSession, known_texts() if texts is None else texts)
     found = units.join(F.broadcast(known), "digest")  # as many rows as the list of known texts has
     return found.groupBy("doc_id", "license_id").agg(F.max("whole").alias("whole_text"), F.max(~F.col("whole")).alias("in_lines"))
 

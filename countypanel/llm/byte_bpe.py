@@ -8,9 +8,9 @@ a word into its ids, and the bytes of those ids, in order, into the decoded byte
 Defined results: a null text counts as empty, and an empty text has no tokens. Repeated rows are encoded each for
 itself. Other columns of the input are ignored.
 
-Bounded memory: a batch holds at most `batch_words` new distinct words per DuckDB query, and a worker forgets its
-words once it knows `known_words` of them. A recursive query contracts one pair of a word per round, which
-takes time with the square of the word's length; words of more than SQL_BYTES bytes (in practice lines without any
+Bounded memory: a batch holds at most `batch_words` new distinct words per DuckDB query, and fewer if their rows of all
+rounds, which the query keeps, could pass BATCH_ROWS; a worker forgets its words once it knows `known_words` of them. A
+recursive query contracts one pair of a word per round, so a word's rows and time grow with the square of its length; words of more than SQL_BYTES bytes (in practice lines without any
 space) are contracted by the same rule with a heap instead.
 """
 
@@ -34,6 +34,8 @@ from countypanel.llm.common import table, text_of
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SQL_BYTES = 200
+#: Rows of all rounds of a query, each of some 24 bytes; grouping and joining them takes several times as much, within DuckDB's limit.
+BATCH_ROWS = 4_000_000
 
 #: Position bits in a row's key and in the packed minimum.
 _BITS = 9
@@ -153,8 +155,7 @@ class Codec:
                     todo[w] = ",".join([self.names[i] for i in ids]), b"".join([self.tokens[i] for i in ids])
                 else:
                     batch.append((w, b))
-        for at in range(0, len(batch), self.batch_words):
-            part = batch[at : at + self.batch_words]
+        for part in self.batches(batch):
             for (w, _), entry in zip(part, self._merge([b for _, b in part]), strict=True):
                 todo[w] = entry
         for x, words in found.items():
@@ -164,6 +165,18 @@ class Codec:
                 entries = [todo[w] for w in words]
                 self.known[x] = ",".join([e[0] for e in entries]), b"".join([e[1] for e in entries])
 
+    def batches(self, words: list[tuple[str, bytes]]) -> Iterator[list[tuple[str, bytes]]]:
+        """words in parts of at most batch_words words and, by n (n + 1) / 2 for n bytes, BATCH_ROWS rows; a word has fewer."""
+        start = rows = 0
+        for at, (_, b) in enumerate(words):
+            more = len(b) * (len(b) + 1) // 2
+            if at > start and (at - start >= self.batch_words or rows + more > BATCH_ROWS):
+                yield words[start:at]
+                start, rows = at, 0
+            rows += more
+        if words:
+            yield words[start:]
+
     def _merge(self, words: list[bytes]) -> Iterator[tuple[str, bytes]]:
         lengths = np.array(list(map(len, words)))
         start = np.repeat(np.cumsum(lengths) - lengths, lengths)

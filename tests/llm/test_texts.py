@@ -60,6 +60,20 @@ def test_long_words_are_contracted_by_the_same_rule():
         assert ids == ",".join(map(str, own.by_heap(word))) and raw == word
 
 
+def test_many_long_words_fit_into_memory():
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(60)) for _ in range(6000)]
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 40_000, 400_000)
+    own.learn(set(words))
+    for w in words:
+        ids, raw = own.known[w]
+        assert raw == w.encode()
+    for w in words[::100]:
+        assert own.known[w][0] == ",".join(map(str, own.by_heap(w.encode())))
+
+
 def test_token_counts_agree_with_the_library(spark, odd_documents, sf_dir):
     from tokenizers import Tokenizer
 

@@ -1,7 +1,7 @@
 """Benchmark decontamination (operator 1): SimHash over item-sized windows, Hamming blocks, exact verification.
 
 Texts are lower-cased and cut into words of letters and digits; a shingle is five words (the whole text, if it has
-fewer). A window of a document has as many shingles as a benchmark item has (the whole document, if that is
+fewer; for an item of fewer words, documents are cut into shingles of its own number of words). A window of a document has as many shingles as a benchmark item has (the whole document, if that is
 shorter). A document is contaminated by an item if one of its windows of that size has
 
 * a SimHash fingerprint within `radius` bits of the item's, and
@@ -112,6 +112,20 @@ def contamination(
     k: int = SHINGLE, broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """doc_id, item_id, similarity, window_start (words before the best window) and bits (between fingerprints)."""
+    length = F.size(words_of(text_of()))
+    short = [r[0] for r in benchmark.where("item_id IS NOT NULL").select(length.alias("n")).where(F.col("n").between(1, k - 1)).distinct().collect()]
+    found = _contamination(docs, benchmark.where(length >= k) if short else benchmark, radius, threshold, k, broadcast_rows)
+    for n in sorted(short):
+        found = found.unionByName(_contamination(docs, benchmark.where(length == n), radius, threshold, n, broadcast_rows))
+    if not short:
+        return found
+    best = F.max(F.struct("similarity", (-F.col("window_start")).alias("s"), (-F.col("bits")).alias("b"))).alias("best")  # texts that share an id
+    return found.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "best.similarity", (-F.col("best.s")).alias("window_start"), (-F.col("best.b")).alias("bits"))
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, radius: int, threshold: float, k: int, broadcast_rows: int) -> DataFrame:
+    """contamination by items of k words or more, or by items of fewer words than that as whole documents."""
     words = F.col("words")
     items = stored(
         benchmark.where("item_id IS NOT NULL").select("item_id", words_of(text_of()).alias("words")).distinct()

@@ -186,6 +186,14 @@ def test_contamination_is_that_of_brute_force(spark, documents):
     assert decontaminate.contamination(docs, bench.limit(0)).count() == decontaminate.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_short_items_are_found_within_longer_texts(spark, documents):
+    bench = spark.createDataFrame([(1, "Short text"), (2, "four words of it"), (3, ITEM), (3, "Gone"), (4, "Gone")], "item_id bigint, text string")
+    docs = documents([(1, f"before a SHORT, text {ITEM}"), (2, "text short"), (3, "Now four words of it."), (4, "short"), (5, "it is gone"), (6, f"gone {ITEM}"), (None, "gone")])
+    rows = decontaminate.contamination(docs, bench).collect()
+    got = {(r.doc_id, r.item_id): (r.similarity, r.window_start) for r in rows}
+    assert len(rows) == len(got) and got == {(1, 1): (1, 2), (1, 3): (1, 4), (3, 2): (1, 1), (5, 3): (1, 2), (5, 4): (1, 2), (6, 3): (1, 0), (6, 4): (1, 0)}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T {n}</title><style>p{{}}</style><script>var t="</p>";</script></head><body class="nav-open"><nav><ul><li>
 <a href="/a">Menu {n}</a></li></ul></nav><!-- x --><div class="ad">Buy {n}</div><article><h1>Head {n}</h1><p><b>Bold&nbsp;start {n}.<br><p>Fish &amp;
 chips {n} &lt;ok&gt; <i>in</i>line</p><div class="comments"><p>Reader {n}</p></div><form><input>Send</form></article><aside>Side {n}</aside><footer>&copy; {n}"""

@@ -1,6 +1,6 @@
 """Every query over training data, and the SQL of those that SQL can express.
 
-Fingerprints of operator 5 need XXH64, operators 3, 6 and 8 need markup and vocabulary rules, 9 and 10 trained models: these are
+Fingerprints of operator 5 need XXH64, operators 3, 6 and 8 need markup and vocabulary rules, 9 and 10 trained models, and 13 is held to what a packing must be: these are
 tested against brute force, the libraries themselves, round trips and held-out accuracy.
 """
 
@@ -16,6 +16,7 @@ from countypanel.llm.common import share_package
 from countypanel.llm.decontaminate import OP1_SQL, op1_decontaminate
 from countypanel.llm.html_text import op3_html_text
 from countypanel.llm.licenses import OP7_SQL, op7_licenses
+from countypanel.llm.packing import op13_packing
 from countypanel.llm.quality import op10_quality
 from countypanel.llm.simhash_dedup import op5_simhash_dedup
 from countypanel.llm.token_counts import op6_token_counts
@@ -24,7 +25,6 @@ from countypanel.llm.toxicity import op9_toxicity
 from countypanel.llm.url_filters import OP2_SQL, op2_url_filters
 
 
-
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ QUERIES = {
     f.__name__: _query(f)
     for f in (
         op1_decontaminate, op2_url_filters, op3_html_text, op4_topk, op5_simhash_dedup, op6_token_counts, op7_licenses,
-        op8_byte_bpe, op9_toxicity, op10_quality,
+        op8_byte_bpe, op9_toxicity, op10_quality, op13_packing,
     )
 }
 

@@ -1,7 +1,7 @@
 """Every query over training data, and the SQL of those that SQL can express.
 
-Fingerprints of operator 5 need XXH64, operators 3, 6 and 8 need markup and vocabulary rules, 9 and 10 trained models, and
-many packings of 13 are right: these are tested against brute force, the libraries themselves, round trips and held-out accuracy.
+Fingerprints of operator 5 need XXH64, operators 3, 6 and 8 need markup and vocabulary rules, 9 and 10 trained models, 11 a
+shortest path by its letters, and many packings of 13 are right: these are tested against brute force, the libraries themselves, round trips and held-out accuracy.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from countypanel.llm.byte_bpe import op8_byte_bpe
 from countypanel.llm.common import share_package
+from countypanel.llm.conversation_repair import op11_conversation_repair
 from countypanel.llm.decontaminate import OP1_SQL, op1_decontaminate
 from countypanel.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from countypanel.llm.html_text import op3_html_text
@@ -39,7 +40,8 @@ QUERIES = {
     f.__name__: _query(f)
     for f in (
         op1_decontaminate, op2_url_filters, op3_html_text, op4_topk, op5_simhash_dedup, op6_token_counts, op7_licenses,
-        op8_byte_bpe, op9_toxicity, op10_quality, op12_hard_negatives, op13_packing,
+        op8_byte_bpe, op9_toxicity, op10_quality, op11_conversation_repair,
+        op12_hard_negatives, op13_packing,
     )
 }
 

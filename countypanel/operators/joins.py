@@ -8,38 +8,79 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 
 def lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Many-to-one left join; rows without a match get nulls."""
     return df.join(table, key, "left")
 
 
+def _numeric(columns: list[Column], types: list[T.DataType]) -> tuple[str, list[Column]]:
+    """Columns as numbers in the order in which Spark compares them: long, or double as soon as one has fractions."""
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return "long", [c.cast("long") for c in columns]
+    if all(isinstance(t, (T.DateType, T.TimestampType)) for t in types):
+        return "long", [F.unix_micros(c.cast("timestamp")) for c in columns]
+    if all(isinstance(t, T.NumericType) for t in types):
+        return "double", [c.cast("double") for c in columns]
+    raise TypeError(f"numbers, dates and timestamps have an order that can be bucketed, not {[t.simpleString() for t in types]}")
+
+
+#: Level of intervals too long for any other: one bucket, or two of whole numbers, holds all values.
+_TOP = {"long": 63, "double": 1024}
+
+
+def _level(length: Column, kind: str) -> Column:
+    """The least power of two, by its exponent, that is greater than a length; read off its digits, so it is exact."""
+    if kind == "long":
+        exponent = F.when(length == 0, 0).otherwise(F.length(F.bin(length)))
+    else:  # as 0x1.8p3; a subnormal number is 0x0.8p-1022
+        exponent = F.regexp_extract(F.format_string("%a", length), "p(-?[0-9]+)$", 1).try_cast("int") + 1
+    return F.least(F.coalesce(exponent, F.lit(_TOP[kind])), F.lit(_TOP[kind])).cast("int")
+
+
+def _bucket(value: Column, level: int, kind: str) -> Column:
+    """Number of the bucket of width two to the level. It never falls as the value grows, also where a double can't hold the quotient."""
+    if kind == "long":
+        return F.shiftright(value, level)
+    return F.lit(0).cast("long") if level >= _TOP[kind] else F.floor(value / F.lit(2.0**level))
+
+
 def range_lookup(df: DataFrame, value: Column, intervals: DataFrame, start: str, end: str) -> DataFrame:
     """Left range join: every interval with start <= value <= end, inclusive; nulls where there is none.
 
-    An interval belongs to the level of the smallest power of two that is at least its length, and touches at
-    most two buckets of that width, whatever its length. Distinct values are looked up once in each
-    level that occurs, by an equi-join on level and bucket, and the rows then join what their value has
-    found. So there is one form for any number and width of intervals and never a nested loop. Planning
-    reads the levels that occur: a few dozen small numbers at most.
+    An interval belongs to the level of the smallest power of two above its length, so it touches at most two
+    neighbouring buckets of that width, and nothing between them. Whole numbers take their level from the bit length and
+    their bucket from a shift; a length beyond a long takes the level whose buckets are the negative numbers and the others.
+    Numbers with fractions take the level from the exponent. Bucketing only proposes: the comparison itself is of the columns as they are.
+
+    If all intervals are of one level, rows meet them by one equi-join. Else the distinct values are
+    looked up once in each level that occurs, and the rows then join what their value has found. So there is
+    never a nested loop. Planning reads the levels that occur: a few dozen small numbers at most.
 
-    Intervals that are null or end before they start match nothing. Values and bounds are numeric.
+    Intervals that are null or end before they start match nothing. Values and bounds are numbers, dates or timestamps.
     """
-    length = F.col(end).cast("double") - F.col(start).cast("double")
-    level = F.greatest(F.ceil(F.log2(F.greatest(length, F.lit(1.0)))), F.lit(0)).cast("int")
+    types = [df.select(value).schema[0].dataType, intervals.schema[start].dataType, intervals.schema[end].dataType]
+    kind, (v, lo, hi) = _numeric([F.col("_value"), F.col(start), F.col(end)], types)
+    length = F.try_subtract(hi, lo) if kind == "long" else hi - lo
+    valid = intervals.filter(F.col(start) <= F.col(end)).withColumn("_level", _level(length, kind))
+    levels = sorted(valid.agg(F.collect_set("_level")).first()[0])
 
-    def bucket(c: Column, of: Column) -> Column:
-        return F.floor(c.cast("double") / F.pow(F.lit(2.0), of))
+    def by_level(c: Column) -> Column:
+        return F.coalesce(*[F.when(F.col("_level") == n, _bucket(c, n, kind)) for n in levels]) if levels else F.lit(0).cast("long")
 
-    valid = intervals.filter(F.col(start) <= F.col(end)).withColumn("_level", level)
-    levels = [row[0] for row in valid.select("_level").distinct().collect()]
-    first, last = bucket(F.col(start), F.col("_level")), bucket(F.col(end), F.col("_level"))
-    listed = valid.withColumn("_bucket", F.explode(F.array_distinct(F.array(first, last))))
-    asked = df.select(value.alias("_value")).filter("_value IS NOT NULL").distinct()
-    asked = asked.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
-    asked = asked.withColumn("_bucket", bucket(F.col("_value"), F.col("_level")))
-    found = asked.join(listed, ["_level", "_bucket"]).filter(F.col("_value").between(F.col(start), F.col(end)))
-    return df.join(found.drop("_level", "_bucket"), value == F.col("_value"), "left").drop("_value")
+    listed = valid.withColumn("_bucket", F.explode(F.array_distinct(F.array(by_level(lo), by_level(hi)))))
+    inside = F.col("_value").between(F.col(start), F.col(end))
+    rows = df.withColumn("_value", value)
+    if len(levels) < 2:
+        own = rows.withColumn("_own", _bucket(v, levels[0], kind) if levels else F.lit(0).cast("long"))
+        found = own.join(listed.drop("_level"), (F.col("_own") == F.col("_bucket")) & inside, "left")
+        return found.drop("_value", "_own", "_bucket")
+    asked = rows.select("_value").filter("_value IS NOT NULL").distinct()
+    asked = asked.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels])))
+    found = asked.withColumn("_bucket", by_level(v)).join(listed, ["_level", "_bucket"]).filter(inside)
+    return rows.join(found.drop("_level", "_bucket"), "_value", "left").drop("_value")
 
 
 def present_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
@@ -47,22 +88,26 @@ def present_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other.select(key), key, "left_semi")
 
 
-def fan_out_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join that keeps every copy when ``right`` repeats a key.
+def fan_out_left_join(left: DataFrame, right: DataFrame, keys: list[str], rows_per_task: int = 100_000) -> DataFrame:
+    """Left join that keeps every copy when ``right`` repeats a key, also so often that one task couldn't take them.
 
-    The main branch joins ``right`` reduced to one row per key, which collapses repeats before the
-    shuffle. Left rows whose key does repeat meet the unreduced rows in a branch of their own. They are
-    rebalanced first, which tells Spark their true size: a panel's worth of them is broadcast, so the
-    repeats stay spread over the tasks that read them; more of them are shuffled as the direct input of
-    the join, where AQE can split a hot key on either side. Without repeats the branch is empty and
-    dropped at run time.
+    Spark splits a hot key of the left side by itself, but never one of the right side of a left join. Planning therefore counts
+    the keys of ``right``. Without a key of over ``rows_per_task`` rows this is the plain join. Else the rows of such a key are
+    spread over as many salts as it needs, the left rows of the key are repeated once per salt, and one join takes
+    all. A left row of a split key has a match for sure, so where a salt has none its null row is dropped. Equal rows of ``right``, which
+    no hash could tell apart, are counted before the join and listed again after it, at most ``rows_per_task`` from one row.
     """
-    extra = [c for c in right.columns if c not in keys]
-    one_each = right.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_copies"), *[F.first(c).alias(c) for c in extra]
-    )
-    reduced = left.join(one_each, keys, "left")
-    single = reduced.filter(F.coalesce(F.col("_copies"), F.lit(1)) == 1).drop("_copies")
-    repeated = reduced.filter(F.col("_copies") > 1).select(*left.columns).hint("rebalance")
-    repeated = repeated.join(right, keys, "inner")
-    return single.unionByName(repeated.select(*single.columns))
+    counted = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_task)
+    if counted.isEmpty():
+        return left.join(right, keys, "left")
+    hot = counted.select(*keys, F.ceil(F.col("_rows") / rows_per_task).alias("_salts"))
+    copies = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    parts = copies.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / rows_per_task))))
+    parts = parts.withColumn("_copies", F.least(F.lit(rows_per_task), F.col("_copies") - F.col("_part") * rows_per_task))
+    spread = F.pmod(F.pmod(F.xxhash64(*right.columns), F.col("_salts")) + F.col("_part"), F.col("_salts"))
+    salted = parts.join(hot, keys, "left").withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_salts", "_part")
+    asked = left.join(hot, keys, "left")
+    asked = asked.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1)))
+    joined = asked.join(salted, [*keys, "_salt"], "left").filter("_salts IS NULL OR _copies IS NOT NULL")
+    listed = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_copies", F.lit(1)).cast("long"))))
+    return listed.drop("_salts", "_salt", "_copies", "_copy")

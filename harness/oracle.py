@@ -662,6 +662,21 @@ EXPECTED = {
             SELECT c_custkey, c_custkey * 10 AS lo,
                    c_custkey * 10 + CASE WHEN c_custkey % 7919 = 0 THEN 3000000000 ELSE CAST(floor(c_acctbal / 100) AS BIGINT) END AS hi
             FROM customer) ON o_orderkey BETWEEN lo AND hi""",
+    "gen_interval_widths": """
+        WITH k AS (SELECT unnest([n_nationkey, n_nationkey + 25, n_nationkey + 50]) AS k FROM nation),
+        r AS (SELECT k, more, CASE WHEN k = 62 THEN -5 ELSE (1::BIGINT << k) - 1 END AS lo
+              FROM k, (VALUES (-1::BIGINT), (0::BIGINT), (1::BIGINT)) m(more) WHERE k <= 62)
+        SELECT o_orderkey, v, k, more, lo, hi
+        FROM (SELECT o_orderkey, (1::BIGINT << CAST(o_orderkey % 62 AS INT)) + o_orderkey // 62 % 11 - 5 AS v FROM orders)
+        LEFT JOIN (SELECT *, lo + (1::BIGINT << k) + more AS hi FROM r) ON v BETWEEN lo AND hi""",
+    "gen_interval_fractions": """
+        SELECT o_orderkey, v, c_custkey, lo, hi FROM (SELECT o_orderkey, o_totalprice / 64 AS v FROM orders) LEFT JOIN (
+            SELECT c_custkey, c_acctbal * 0.7::DOUBLE AS lo,
+                   c_acctbal * 0.7::DOUBLE + pow(2::DOUBLE, -(c_custkey % 20)) * (1 + c_custkey % 3) AS hi FROM customer)
+        ON v BETWEEN lo AND hi""",
+    "gen_fan_out_hot": """
+        SELECT o_orderkey AS orderkey, o_orderstatus, o_totalprice, l_linenumber, l_quantity
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
     "gen_spine_joins": """
         SELECT c_custkey, c_mktsegment, c_acctbal, n_orders, largest_order, n_events, largest_value FROM customer
         LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS largest_order FROM orders GROUP BY 1)

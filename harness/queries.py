@@ -669,6 +669,35 @@ def gen_interval_join(t: TestTables) -> DataFrame:
     return joins.range_lookup(orders, F.col("o_orderkey"), ranges, "lo", "hi").select("o_orderkey", "c_custkey", "lo", "hi")
 
 
+@query()
+def gen_interval_widths(t: TestTables) -> DataFrame:
+    """Orders spread around the powers of two, in ranges one short of, equal to and one above a power of two long."""
+    power = F.expr("shiftleft(1L, cast(o_orderkey % 62 as int))")
+    orders = t.table("orders").select("o_orderkey", (power + F.expr("o_orderkey div 62 % 11 - 5")).alias("v"))
+    ranges = t.table("nation").selectExpr(
+        "explode(filter(array(n_nationkey, n_nationkey + 25, n_nationkey + 50), k -> k <= 62)) as k"
+    ).selectExpr("k", "explode(array(-1L, 0L, 1L)) as more")
+    ranges = ranges.selectExpr("k", "more", "if(k = 62, -5L, shiftleft(1L, k) - 1) as lo").selectExpr("*", "lo + shiftleft(1L, k) + more as hi")
+    return joins.range_lookup(orders, F.col("v"), ranges, "lo", "hi")
+
+
+@query()
+def gen_interval_fractions(t: TestTables) -> DataFrame:
+    """Order totals in ranges whose bounds and widths are fractions."""
+    lo, width = F.col("c_acctbal") * 0.7, F.expr("pow(2D, -(c_custkey % 20)) * (1 + c_custkey % 3)")
+    ranges = t.table("customer").select("c_custkey", lo.alias("lo"), (lo + width).alias("hi"))
+    orders = t.table("orders").select("o_orderkey", (F.col("o_totalprice") / 64).alias("v"))
+    return joins.range_lookup(orders, F.col("v"), ranges, "lo", "hi")
+
+
+@query()
+def gen_fan_out_hot(t: TestTables) -> DataFrame:
+    """Every order with its lines, those of over three lines spread over several tasks."""
+    orders = t.table("orders").select(F.col("o_orderkey").alias("orderkey"), "o_orderstatus", "o_totalprice")
+    lines = t.table("lineitem").select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_quantity")
+    return joins.fan_out_left_join(orders, lines, ["orderkey"], rows_per_task=3)
+
+
 @query()
 def gen_spine_joins(t: TestTables) -> DataFrame:
     """Measures of three sources side by side on the key of the leading one, each reduced to that key."""

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from countypanel.operators import filters, joins, reshape
@@ -16,14 +17,16 @@ def test_fan_out_left_join_equals_left_join(spark):
     assert got.count() == 2 * 3 + 1 + 1
 
 
-def test_repeated_keys_are_joined_without_moving_the_repeats(spark):
+def test_hot_keys_of_the_right_side_are_spread_over_one_join(spark):
     left = spark.range(1000).selectExpr("cast(id as string) as k", "id as y", "id * 1.0D as a")
-    right = spark.range(90000).selectExpr("if(id % 3 = 0, '7', cast(id % 900 as string)) as k", "id as b")
+    right = spark.range(90000).selectExpr("if(id % 3 = 0, '7', cast(id % 900 as string)) as k", "if(id % 2 = 0, 0, id) as b")
     right = right.withColumn("y", F.col("k").cast("long"))
-    df = joins.fan_out_left_join(left, right, KEYS)
-    assert len(df.collect()) == left.join(right, KEYS, "left").count()
-    final = plan(df).split("Initial Plan")[0]
-    assert "Inner, BuildLeft" in final and "SortMergeJoin" not in final.split("Union")[1].split("REBALANCE")[0]
+    want = left.join(right, KEYS, "left")
+    df = joins.fan_out_left_join(left, right, KEYS, rows_per_task=500)
+    assert df.columns == want.columns and df.exceptAll(want).isEmpty() and want.exceptAll(df).isEmpty()
+    assert "Union" not in plan(df) and "_salt" in plan(df)
+    plain = joins.fan_out_left_join(left, right, KEYS, rows_per_task=100_000)
+    assert plain.count() == want.count() and "_salt" not in plan(plain)
 
 
 def test_fan_out_left_join_keeps_null_keys(spark):
@@ -51,6 +54,16 @@ def test_range_lookup_has_one_form(spark):
     assert values(joins.range_lookup(points, F.col("v"), spans.limit(0), "lo", "hi"), "name") == [(None,)] * 8
 
 
+def test_range_lookup_of_dates_and_times(spark):
+    days = spark.sql("SELECT * FROM VALUES (DATE'2020-01-01'), (DATE'2020-02-29'), (DATE'1969-12-31') AS t(d)")
+    spans = spark.sql("SELECT 'leap' AS name, TIMESTAMP'2020-02-01' AS lo, TIMESTAMP'2020-02-29' AS hi UNION ALL SELECT 'all', TIMESTAMP'0002-01-01', TIMESTAMP'9999-12-31'")
+    got = joins.range_lookup(days, F.col("d"), spans, "lo", "hi")
+    assert sorted((str(r["d"]), r["name"]) for r in got.collect()) == [
+        ("1969-12-31", "all"), ("2020-01-01", "all"), ("2020-02-29", "all"), ("2020-02-29", "leap")]
+    with pytest.raises(TypeError, match="bucketed"):
+        joins.range_lookup(days, F.col("d").cast("string"), spans, "lo", "hi")
+
+
 def test_lookup_and_semi_join(spark):
     df = frame(spark, "k string, a long", ("a", 1), ("b", 2), (None, 3))
     table = frame(spark, "k string, b long", ("a", 7))

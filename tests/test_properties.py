@@ -59,6 +59,42 @@ def test_range_lookup_of_many_wide_nested_and_empty_intervals(spark):
     assert values(got, "v", "name") == sorted(want, key=repr)
 
 
+def _found(spark, kind, points, spans):
+    df, intervals = frame(spark, f"v {kind}", *[(p,) for p in points]), frame(spark, f"lo {kind}, hi {kind}", *spans)
+    return values(joins.range_lookup(df, F.col("v"), intervals, "lo", "hi"), "v", "lo", "hi")
+
+
+def _listed(points, spans):
+    return sorted(((p, *s) for p in points for s in ([s for s in spans if s[0] <= p <= s[1]] or [(None, None)])), key=repr)
+
+
+def test_range_lookup_at_the_edges_of_every_power_of_two(spark):
+    rng, least, most = random.Random(4), -(2**63), 2**63 - 1
+    spans = []
+    for k in range(63):
+        for width in {2**k - 1, 2**k, 2**k + 1}:
+            for lo in (2**k - 1, 0, -(2**k), -3, rng.randint(least, most)):
+                spans.append((lo, min(lo + width, most)))
+    spans += [(least, most), (least, -1), (-1, most), (0, most), (least, least), (most, most)]
+    edges = {x + d for s in spans for x in s for d in (-1, 0, 1)} | {(a + b) // 2 for a, b in spans} | {2**49 + 5, 2**50 - 3}
+    points = [p for p in sorted(edges) if least <= p <= most]
+    points = points[::5] + [2**49 + 5, 2**50 - 3, least, most, -1, 0]
+    assert _found(spark, "long", points, spans) == _listed(points, spans)
+    for span in ((2**49 - 1, 2**50), (2**52 - 1, 2**53), (least, most), (-5, 2**62)):  # one level alone
+        near = [span[0], span[0] + 6, (span[0] + span[1]) // 2, span[1] - 3, span[1], 0]
+        assert _found(spark, "long", near, [span]) == _listed(near, [span])
+
+
+def test_range_lookup_of_fractions_at_every_scale(spark):
+    rng, spans = random.Random(6), []
+    for k in (-1074, -1070, -1022, -600, -52, -3, -1, 0, 1, 5, 52, 53, 54, 63, 64, 200, 1000):
+        for width in (2.0**k, 2.0**k * 0.999, 2.0**k * 1.001):
+            spans += [(lo, lo + width) for lo in (0.0, -width / 2, 2.0**k - width, 0.1, rng.uniform(-1, 1) * 2.0 ** min(k + 3, 1000))]
+    spans += [(-1e308, 1e308), (float("-inf"), float("inf")), (0.5, float("inf")), (0.25, 0.25), (-0.0, 0.0), (2.0**53 - 0.5, 2.0**54 + 2)]
+    points = sorted({x for s in spans for x in (*s, s[0] / 2 + s[1] / 2) if x == x})[::3] + [0.0, 0.1, 5e-324, -5e-324, 1e308]
+    assert _found(spark, "double", points, spans) == _listed(points, spans)
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_fan_out_join_against_plain_left_join(spark, seed):
     rng = random.Random(seed)
@@ -68,8 +104,9 @@ def test_fan_out_join_against_plain_left_join(spark, seed):
 
     left = frame(spark, "k string, y long, a long", *[(*key(), i) for i in range(60)])
     right = frame(spark, "k string, y long, b long", *[(*key(), rng.choice([None, 1, 2])) for _ in range(40)])
-    got = joins.fan_out_left_join(left, right, ["k", "y"])
-    assert values(got, "k", "y", "a", "b") == values(left.join(right, ["k", "y"], "left"), "k", "y", "a", "b")
+    for rows_per_task in (1, 2, 100):
+        got = joins.fan_out_left_join(left, right, ["k", "y"], rows_per_task)
+        assert values(got, "k", "y", "a", "b") == values(left.join(right, ["k", "y"], "left"), "k", "y", "a", "b")
 
 
 def test_pivot_against_pandas(spark):

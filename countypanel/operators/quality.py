@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from countypanel.operators.reshape import union_all
+from countypanel.schemas import _schema
+from countypanel.sources.reference_data import local_table
 
 
 @dataclass(frozen=True)
@@ -81,40 +83,60 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     return counted.join(known, column, "left_anti")
 
 
-def _report_line(table: str, check: Check, failing: Column) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(check.kind).alias("check_name"),
-        F.lit(check.column).alias("column_name"),
-        F.coalesce(failing, F.lit(0)).cast("long").alias("failing_rows"),
-    )
+#: Kinds of checks that look at keys, not at rows by themselves.
+KEY_CHECKS = ("unique", "relationships")
 
 
-def check_table(
-    table: str, df: DataFrame, checks: Sequence[Check], parents: Mapping[str, DataFrame]
-) -> DataFrame:
-    """Report of one table.
+_LINES = _schema("number long, table_name string, check_name string, column_name string")
 
-    All row-level checks are one aggregation that moves no rows. Checks on keys shuffle the key alone,
-    counted on the map side.
+
+def _entries(name: str, df: DataFrame, numbered: Sequence[tuple[int, str, Check]]) -> DataFrame | None:
+    """What a table tells the checks, from one scan: the keys they look at, and a mark for every row that breaks one.
+
+    number: of the check. key: as text, null for a mark. is_parent: it comes from the table that a key must be in.
     """
-    reports = []
-    row_level = [c for c in checks if c.kind not in ("unique", "relationships")]
-    if row_level:
-        lines = F.array(*[_report_line(table, c, F.count_if(_breaks(c))) for c in row_level])
-        reports.append(df.agg(lines.alias("lines")).select(F.inline("lines")))
-    for check in checks:
-        if check.kind == "unique":
-            failing, count = unique(df, check.column), F.count(F.lit(1))
-        elif check.kind == "relationships":
-            failing = relationships(df, check.column, parents[check.parent], check.parent_column)
-            count = F.sum("n_rows")
-        else:
-            continue
-        reports.append(failing.agg(_report_line(table, check, count).alias("line")).select("line.*"))
-    return union_all(reports)
+    told: list[Column] = []
+
+    def entry(number: int, key: Column, is_parent: bool, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(number).cast("long").alias("number"), key.cast("string").alias("key"), F.lit(is_parent).alias("is_parent")))
+
+    for number, table, check in numbered:
+        if table == name:
+            column = F.col(check.column)
+            if check.kind in KEY_CHECKS:
+                told.append(entry(number, column, False, column.isNotNull()))
+            else:
+                told.append(entry(number, F.lit(None), False, _breaks(check)))
+        if check.kind == "relationships" and check.parent == name:
+            column = F.col(check.parent_column)
+            told.append(entry(number, column, True, column.isNotNull()))
+    return df.select(F.inline(F.array_compact(F.array(*told)))) if told else None
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Check]]) -> DataFrame:
-    """Report over many tables: one row per check with the number of rows (or keys) that break it."""
-    return union_all([check_table(name, tables[name], rules, tables) for name, rules in checks.items()])
+    """Report over many tables: one row per check with the number of rows (or of repeated keys) that break it.
+
+    Every table is read once, as a table with checks and as the parent of others. Its keys and its broken rows become
+    entries, which one aggregation counts on the map side; what is shuffled is a number, a key and two counts. A repeated key is then one entry with a
+    count over one, a missing parent one without the parent's mark. Row-level checks shuffle a count per task.
+    """
+    numbered = [(n, table, check) for n, (table, check) in enumerate((t, c) for t, rules in checks.items() for c in rules)]
+    parts = [part for name, df in tables.items() if (part := _entries(name, df, numbered)) is not None]
+    named = [(n, table, check.kind, check.column) for n, table, check in numbered]
+    own = F.count_if(~F.col("is_parent")).alias("n_rows")
+    counted = union_all(parts).groupBy("number", "key").agg(own, F.bool_or("is_parent").alias("has_parent"))
+
+    def of(kind: str) -> Column:
+        return F.col("number").isin(*[n for n, _, check in numbered if check.kind == kind])
+
+    broken = F.when(of("unique"), (F.col("n_rows") > 1).cast("long")).when(of("relationships") & F.col("has_parent"), F.lit(0)).otherwise(F.col("n_rows"))
+    failing = counted.groupBy("number").agg(F.sum(broken).alias("failing_rows"))
+    lines = local_table(failing.sparkSession, named, _LINES)
+    found = lines.join(failing, "number", "left")
+    return found.select("table_name", "check_name", "column_name", F.coalesce("failing_rows", F.lit(0)).cast("long").alias("failing_rows"))
+
+
+def check_table(table: str, df: DataFrame, checks: Sequence[Check], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Report of one table."""
+    needed = {check.parent for check in checks if check.kind == "relationships"}
+    return run_checks({**{name: parents[name] for name in needed}, table: df}, {table: checks})

@@ -157,21 +157,50 @@ def trend_by_both(trends: DataFrame, measures: Sequence[str] = tuple(TREND_MEASU
     return df.withColumn("group", F.concat("era_name", F.lit(" / "), "expansion_status"))
 
 
-def era_of_year(year: Column) -> Column:
-    return span_of(year, ERA_SPANS, "pre-era")
+#: The ways to split trends by era and expansion status.
+TREND_GROUPINGS = (("year", "era_name"), ("year", "expansion_status"), ("year", "era_name", "expansion_status"))
 
 
-def era_ordered(df: DataFrame) -> DataFrame:
-    """Rows in the fixed era order, then by year."""
-    return df.withColumn("era_order", rank_in(F.col("era_name"), ERA_ORDER)).orderBy("era_order", "year")
+def trend_all_groupings(
+    trends: DataFrame, measures: Sequence[str] = tuple(TREND_MEASURES), groupings: Sequence[Sequence[str]] = TREND_GROUPINGS
+) -> DataFrame:
+    """The trends of several groupings from one pass over the county rates, with the keys that a row is grouped by.
+
+    Every rate is listed once per grouping and folded on the map side, so one shuffle moves the groups alone. As in
+    ``mean_trend``, rows with a missing key don't count in the groupings by that key.
+    """
+    keys = list(dict.fromkeys(k for grouping in groupings for k in grouping))
+    sets = [[F.col(k) for k in grouping] for grouping in groupings]
+    means = trends.groupingSets(sets, *keys).agg(*[F.avg(m).alias(m) for m in measures], *[F.grouping(k).alias(f"_{k}") for k in keys])
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & ((F.col(f"_{k}") == 1) | F.col(k).isNotNull())
+    named = F.concat_ws(", ", *[F.when(F.col(f"_{k}") == 0, k) for k in keys]).alias("grouped_by")
+    return to_pct(means.filter(complete).select(named, *keys, *measures), measures)
+
+
+def era_spans(eras: DataFrame) -> list[tuple[str, int, int]]:
+    """Name, first and last year of the eras of a lookup table, of which there are a handful."""
+    rows = eras.filter("start_year <= end_year").select("era_name", "start_year", "end_year").orderBy("start_year", "era_name").collect()
+    return [tuple(r) for r in rows]
+
+
+def era_of_year(year: Column, spans: Sequence[tuple[str, int, int]] = ERA_SPANS) -> Column:
+    """Era that a year lies in, by default of the eras shipped with the package."""
+    return span_of(year, spans, "pre-era")
+
+
+def era_ordered(df: DataFrame, names: Sequence[str] = ERA_ORDER) -> DataFrame:
+    """Rows in the order of the eras, then by year."""
+    return df.withColumn("era_order", rank_in(F.col("era_name"), names)).orderBy("era_order", "year")
 
 
-def map_slice(trends: DataFrame, year: int, measure: str) -> DataFrame:
+def map_slice(trends: DataFrame, year: int, measure: str, spans: Sequence[tuple[str, int, int]] = ERA_SPANS) -> DataFrame:
     """Display value of one measure for every county that has it in one year."""
     one = trends.filter(F.col("year") == year).dropna(subset=[measure])
     return to_pct(one, [measure]).select(
         "county_fips", "county_name", "state_abbr",
-        F.col(measure).alias("display_value"), era_of_year(F.col("year")).alias("era_label"),
+        F.col(measure).alias("display_value"), era_of_year(F.col("year"), spans).alias("era_label"),
     )
 
 

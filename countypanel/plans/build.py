@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from countypanel import schemas
 from countypanel.operators.quality import run_checks
-from countypanel.plans import conform, raw, star
-from countypanel.plans.contracts import CHECKS
+from countypanel.plans import conform, contracts, raw, star
 from countypanel.sources import reference_data
-from countypanel.sources.delimited import read_padded_tsv
+from countypanel.sources.delimited import ScanLog, read_padded_tsv
 from countypanel.sources.json_matrix import read_row_lines
-from countypanel.sources.tables import replace_table, table_name, table_or_empty
+from countypanel.sources.tables import replace_partitions, replace_table, table_name, table_or_empty
 
 Loader = Callable[[SparkSession], DataFrame | None]
 PayloadReader = Callable[[SparkSession, str, Sequence[str], Sequence[int]], DataFrame]
 
+#: Raw tables are stored by year: staging reads the years it wants, and a year can be replaced by itself.
+BY_YEAR = ("year",)
+
 RAW_TABLES = {
     "sahie": ("sahie_uninsured", schemas.RAW_SAHIE),
     "bls": ("bls_laus", schemas.RAW_BLS),
@@ -28,19 +30,32 @@ RAW_TABLES = {
 }
 
 
-def file_loaders(landing: str, payloads: PayloadReader = read_row_lines) -> dict[str, Loader]:
-    """Loaders over a landing folder with one subfolder per source."""
-    return {
+class Loaders(dict[str, Loader]):
+    """Loaders by source, and the log of the lines that their scans set aside."""
+
+    def __init__(self, loaders: Mapping[str, Loader], log: ScanLog | None = None) -> None:
+        super().__init__(loaders)
+        self.log = log if log is not None else ScanLog()
+
+    def __or__(self, other: Mapping[str, Loader]) -> Loaders:
+        return Loaders({**self, **other}, self.log)
+
+
+def file_loaders(landing: str, payloads: PayloadReader = read_row_lines, skip_unreadable: bool = False) -> Loaders:
+    """Loaders over a landing folder with one subfolder per source; ``skip_unreadable`` leaves out health files that can't be read."""
+    log = ScanLog()
+    loaders: dict[str, Loader] = {
         "sahie": lambda s: raw.sahie_raw(
             payloads(s, f"{landing}/sahie", raw.SAHIE_COLUMNS, raw.SAHIE_YEARS)
         ),
         "bls": lambda s: raw.bls_raw(
-            read_padded_tsv(s, f"{landing}/bls/la.series"),
-            read_padded_tsv(s, f"{landing}/bls/la.data.64.County"),
+            read_padded_tsv(s, f"{landing}/bls/la.series", log),
+            read_padded_tsv(s, f"{landing}/bls/la.data.64.County", log),
         ),
         "acs": lambda s: raw.acs_raw(payloads(s, f"{landing}/acs", raw.ACS_COLUMNS, raw.ACS_YEARS)),
-        "ahrq": lambda s: raw.load_ahrq(s, f"{landing}/ahrq"),
+        "ahrq": lambda s: raw.load_ahrq(s, f"{landing}/ahrq", skip_unreadable, log),
     }
+    return Loaders(loaders, log)
 
 
 @dataclass
@@ -52,6 +67,8 @@ class LoadReport:
     skipped: list[str] = field(default_factory=list)
     #: Per source: years without files, files left out, anything else its loader warned of.
     incomplete: dict[str, list[str]] = field(default_factory=dict)
+    #: Per source: malformed lines that were set aside, by what was read.
+    malformed: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 class SourceLoadError(RuntimeError):
@@ -69,13 +86,16 @@ def load_sources(
     only: Sequence[str] | None = None,
     skip: Sequence[str] = (),
     allow_fewer_years: bool = False,
+    landed_years_only: bool = False,
 ) -> LoadReport:
     """Replace the raw table of every chosen source; one failing source does not stop the others.
 
     A loader that finds nothing to load returns None, and the table stays as it is. So it does, with an error, when the new rows
-    lack years that the table has, unless ``allow_fewer_years``. What loaders warn of is in the report.
+    lack years that the table has, unless ``allow_fewer_years``. With ``landed_years_only`` the years that landed are
+    replaced and the table keeps its others. What loaders warn of and the malformed lines they set aside are in the report.
     """
     report = LoadReport()
+    log = loaders.log if isinstance(loaders, Loaders) else ScanLog()
     for key, (name, schema) in RAW_TABLES.items():
         if only is not None and key not in only:
             continue
@@ -90,9 +110,15 @@ def load_sources(
                     report.skipped.append(key)
                 else:
                     df = schemas.assert_schema(df, schema, name)
-                    report.rows[key] = replace_table(df, name, "raw", accept=None if allow_fewer_years else _same_years)
+                    if landed_years_only:
+                        report.rows[key] = replace_partitions(df, name, "raw", BY_YEAR)
+                    else:
+                        report.rows[key] = replace_table(df, name, "raw", BY_YEAR, None if allow_fewer_years else _same_years)
+                    if lines := log.take():
+                        report.malformed[key] = lines
             except Exception as error:
                 report.errors[key] = error
+            log.forget()
         told = [w for w in caught if issubclass(w.category, UserWarning)]
         if told:
             report.incomplete[key] = [str(w.message) for w in told]
@@ -107,7 +133,9 @@ def _same_years(old: DataFrame, new: DataFrame) -> None:
     missing = old.select("year").distinct().join(new.select("year").distinct(), "year", "left_anti")
     years = sorted(row["year"] for row in missing.filter("year IS NOT NULL").collect())
     if years:
-        raise ValueError(f"the new rows lack the years {years}, which the table has; allow_fewer_years replaces it all the same")
+        raise ValueError(
+            f"the new rows lack the years {years}, which the table has; allow_fewer_years replaces it all the same, landed_years_only keeps them"
+        )
 
 
 SEEDS = {
@@ -163,11 +191,10 @@ def build_star(spark: SparkSession) -> dict[str, int]:
 
 
 def panel_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    """All checked tables by name; the fact's columns in contract order."""
+    """All checked tables by name."""
     tables = dict(staging_views(spark))
     for name in ("dim_county", "dim_year", "fct_county_year"):
         tables[name] = spark.table(table_name(name, "dimensional"))
-    tables["fct_county_year"] = tables["fct_county_year"].select(*schemas.FACT.names)
     for name in ("state_fips_lookup", "policy_eras", "medicaid_expansion_status"):
         tables[name] = spark.table(table_name(name, "seeds"))
     return tables
@@ -189,12 +216,19 @@ def build_panel(
     skip: Sequence[str] = (),
     seeds: str | None = None,
     fail_on_checks: bool = True,
+    allow_fewer_years: bool = False,
+    landed_years_only: bool = False,
 ) -> DataFrame:
-    """Sources, seeds, star schema; returns the quality report, or raises it if a check fails."""
-    load_sources(spark, loaders, only, skip)
+    """Sources, seeds, star schema; returns the quality report, or raises it if a check fails.
+
+    The options of ``load_sources`` say what to do about years that have not landed; that files may be left out is an option of ``file_loaders``.
+    Era names are checked against the seeds that the panel is built with.
+    """
+    load_sources(spark, loaders, only, skip, allow_fewer_years, landed_years_only)
     load_seeds(spark, seeds)
     build_star(spark)
-    report = run_checks(panel_tables(spark), CHECKS)
+    tables = panel_tables(spark)
+    report = run_checks(tables, contracts.checks(contracts.era_names(tables["policy_eras"])))
     if fail_on_checks:
         lines = report.collect()  # one row per check
         report = spark.createDataFrame(lines, report.schema)

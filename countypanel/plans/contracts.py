@@ -3,6 +3,11 @@ and one cross-column invariant."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
+
 from countypanel.operators.quality import Check
 from countypanel.sources.reference_data import ERA_ORDER
 
@@ -11,6 +16,11 @@ def _not_null(*columns: str) -> list[Check]:
     return [Check("not_null", c) for c in columns]
 
 
+def era_names(eras: DataFrame) -> list[str]:
+    """Names in a table of eras, of which there are a handful."""
+    return sorted(r["era_name"] for r in eras.select("era_name").distinct().collect() if r["era_name"] is not None)
+
+
 # What each column has to satisfy.
 CHECKS: dict[str, list[Check]] = {
     "stg_sahie": [
@@ -54,3 +64,12 @@ CHECKS: dict[str, list[Check]] = {
         Check("accepted_values", "expansion_status", values=("expanded", "not_expanded")),
     ],
 }
+
+
+def checks(eras: Sequence[str]) -> dict[str, list[Check]]:
+    """The checks with these era names as the accepted ones."""
+
+    def own(check: Check) -> Check:
+        return replace(check, values=tuple(eras)) if (check.kind, check.column) == ("accepted_values", "era_name") else check
+
+    return {table: [own(check) for check in rules] for table, rules in CHECKS.items()}

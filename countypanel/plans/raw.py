@@ -18,7 +18,7 @@ from countypanel.functions.scalars import (
     zfill,
 )
 from countypanel.operators.reshape import lower_names, pivot_measures
-from countypanel.sources.delimited import list_files, read_drifting_csv
+from countypanel.sources.delimited import ScanLog, list_files, read_drifting_csv
 
 # Estimate years fetched per source.
 SAHIE_YEARS = list(range(2016, 2023))
@@ -157,13 +157,15 @@ def ahrq_raw(resolved: DataFrame) -> DataFrame:
     )
 
 
-def load_ahrq(spark: SparkSession, folder: str, skip_unreadable: bool = False) -> DataFrame | None:
+def load_ahrq(
+    spark: SparkSession, folder: str, skip_unreadable: bool = False, log: ScanLog | None = None
+) -> DataFrame | None:
     """Every yearly file under a folder; None, with a warning, when none is usable.
 
     A file that cannot be read is an error, or with ``skip_unreadable`` left out with a warning.
     """
     files = list_files(spark, folder, AHRQ_FILES)
-    resolved = read_drifting_csv(spark, files, AHRQ_ALIASES, skip_unreadable) if files else None
+    resolved = read_drifting_csv(spark, files, AHRQ_ALIASES, skip_unreadable, log) if files else None
     if resolved is None:
         warnings.warn(f"{folder}: no usable yearly health file")
         return None

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -103,3 +107,26 @@ def assert_schema(df: DataFrame, expected: T.StructType, table: str) -> DataFram
     if drift:
         raise ValueError(f"{table}: " + "; ".join(drift))
     return df
+
+
+def check_types(tables: Mapping[str, DataFrame], expected: Mapping[str, T.StructType]) -> DataFrame:
+    """The columns that break their table's contract: missing, unexpected or of another type, with the table's number of rows.
+
+    Types are known without a scan, and rows are counted only of tables with such a column.
+    """
+    failing = []
+    for name, contract in expected.items():
+        want = {f.name: f.dataType.simpleString() for f in contract}
+        have = dict(tables[name].dtypes)
+        wrong = [(c, want.get(c), have.get(c)) for c in sorted({*want, *have}) if want.get(c) != have.get(c)]
+        if wrong:
+            lines = F.array(*[
+                F.struct(*[F.lit(x).cast("string").alias(n) for n, x in zip(("table_name", "column_name", "expected_type", "found_type"), (name, *line))])
+                for line in wrong
+            ])
+            counted = tables[name].agg(F.count(F.lit(1)).alias("n_rows"))
+            failing.append(counted.select(F.inline(lines), "n_rows").select("table_name", "column_name", "expected_type", "found_type", "n_rows"))
+    if failing:
+        return reduce(DataFrame.unionByName, failing)
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame([], "table_name string, column_name string, expected_type string, found_type string, n_rows long")

@@ -6,13 +6,13 @@ import json
 import re
 import warnings
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countypanel.operators.reshape import union_all
-from countypanel.sources.delimited import HEADER_THREADS, list_files
+from countypanel.sources.delimited import list_files
+from countypanel.sources.headers import first_lines
 
 STRICT = {"mode": "FAILFAST"}
 
@@ -73,17 +73,15 @@ def read_row_lines(
 ) -> DataFrame:
     """Files written one row per line, header first, as the Census service replies.
 
-    A file splits over tasks like any text file. Its header is read while planning, and files that share
+    A file splits over tasks like any text file. All headers are read by one job while planning, and files that share
     a header become one scan with fixed positions.
     """
     files = landed_files(spark, root, years)
 
-    def header(file: str) -> tuple[str, ...]:
-        first = spark.read.text(file).first()
-        return _header_names(first["value"].strip() if first else "[[]]", file)
-
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        headers = list(pool.map(header, files))
+    lines, errors = first_lines(spark, files)
+    if errors:
+        raise ValueError(f"unreadable: {errors}")
+    headers = [_header_names(lines[file].strip() or "[[]]", file) for file in files]
     groups: dict[tuple[str, ...], list[str]] = {}
     for file, names in zip(files, headers):
         groups.setdefault(names, []).append(file)

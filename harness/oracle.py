@@ -318,6 +318,8 @@ def _nested(sql: str) -> str:
     return prefix.replace(sql, "").rstrip() + ", " + body.removeprefix("WITH ")
 
 
+#: Spark's name for the type of a time column as it is stored.
+TIME_TYPE = "(SELECT CASE WHEN any_value(typeof({column})) = 'TIMESTAMP' THEN 'timestamp_ntz' ELSE 'timestamp' END FROM {table})"
 PERCENT = ["pct_uninsured", "unemployment_rate", "poverty_rate", "pct_bachelors_plus", "pct_severe_rent_burden"]
 
 
@@ -328,6 +330,31 @@ def _means(keys: str, extra: str = "") -> str:
     return f"SELECT {keys}{extra}, {', '.join(means)} FROM trends WHERE {present} GROUP BY {keys}"
 
 
+def _all_groupings() -> str:
+    """The three trends one below the other."""
+    parts = []
+    for keys in (("year", "era_name"), ("year", "expansion_status"), ("year", "era_name", "expansion_status")):
+        named = ", ".join(k if k in keys else f"CAST(NULL AS VARCHAR) AS {k}" for k in ("year", "era_name", "expansion_status"))
+        columns = ", ".join([*PERCENT, "median_household_income"])
+        parts.append(f"SELECT '{', '.join(keys)}' AS grouped_by, {named}, {columns} FROM ({_means(', '.join(keys))})")
+    return " UNION ALL ".join(parts)
+
+
+def _check_types() -> str:
+    """Wrong columns, written out; the rows are counted."""
+    wrong = [
+        ("orders", "o_custkey", "string", "bigint"), ("orders", "o_comment", "string", None), ("orders", "o_orderdate", None, None),
+        ("nation", "n_nationkey", "bigint", "int"), ("nation", "n_regionkey", "bigint", "int"), ("events", "ts", "string", None),
+        ("customer", "c_nationkey", "bigint", "int"),
+    ]
+    times = {("orders", "o_orderdate"), ("events", "ts")}
+    text = lambda x: "CAST(NULL AS VARCHAR)" if x is None else f"'{x}'"
+    found = lambda t, c, kind: TIME_TYPE.format(table=t, column=c) if (t, c) in times else text(kind)
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, {text(e)} AS expected_type, {found(t, c, f)} AS found_type, "
+        f"(SELECT count(*) FROM {t}) AS n_rows" for t, c, e, f in wrong)
+
+
 def _people(seed: str) -> str:
     return f"""
         SELECT {seed}.*, coalesce(n, 0) AS n_customers FROM {seed}
@@ -495,8 +522,18 @@ EXPECTED = {
     "src_json_matrix_rows": "SELECT * FROM sahie_payload",
     "src_category_filter": "SELECT * FROM sahie_payload",
     "src_tsv_trim": "SELECT * FROM bls_data",
+    "src_tsv_malformed": """
+        SELECT CASE WHEN kind > 1 THEN series_id END AS series_id, CASE WHEN kind > 1 THEN year END AS year,
+               CASE WHEN kind > 1 THEN period END AS period,
+               CASE WHEN kind = 3 THEN value || chr(9) || 'x' WHEN kind > 1 THEN value END AS value,
+               CASE kind WHEN 0 THEN series_id || chr(9) || year || chr(9) || period
+                         WHEN 1 THEN series_id || chr(9) || year || chr(9) || period || chr(9) || value || chr(9) || 'extra' END AS line
+        FROM (SELECT *, CAST(value AS BIGINT) % 7 AS kind FROM bls_data)""",
     "src_multi_schema_union": "SELECT * FROM ahrq_raw",
     "sink_rowcount": "SELECT 'sahie_uninsured' AS table_name, count(*) AS n_rows FROM sahie_raw",
+    "sink_landed_years": """
+        SELECT * REPLACE (CASE WHEN year IN (2018, 2020) THEN 'Again ' || name ELSE name END AS name) FROM sahie_raw""",
+    "panel_build": "SELECT * FROM fct",
     "optional_source_empty": """
         SELECT * REPLACE (CAST(NULL AS DOUBLE) AS total_mds, CAST(NULL AS DOUBLE) AS total_population,
                CAST(NULL AS DOUBLE) AS dist_trauma_center_miles, CAST(NULL AS DOUBLE) AS dist_obstetrics_miles,
@@ -597,6 +634,7 @@ EXPECTED = {
     "trend_by_era": _means("year, era_name"),
     "trend_by_expansion": _means("year, expansion_status"),
     "trend_by_both": _means("year, era_name, expansion_status", ", era_name || ' / ' || expansion_status AS \"group\""),
+    "trend_all_groupings": _all_groupings(),
     "era_ordered": """
         SELECT year, era_name, round(avg(pct_uninsured) * 100, 6) AS pct_uninsured,
                CAST(CASE era_name WHEN 'Trump1' THEN 1 WHEN 'Biden' THEN 2 ELSE 3 END AS BIGINT) AS era_order
@@ -632,6 +670,7 @@ EXPECTED = {
     "check_ratio_bounds": """
         SELECT c_custkey, o_orderkey, o_totalprice, c_acctbal FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_totalprice < 0 OR c_acctbal < 0 OR o_totalprice > c_acctbal""",
+    "check_types": _check_types(),
     "quality_report": _quality_report(),
     "gen_ratio_of_sums": """
         SELECT l_linestatus, CAST(year(l_shipdate) AS BIGINT) AS year,

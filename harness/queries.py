@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from countypanel import schemas
 from countypanel.functions import scalars as x
 from countypanel.functions.ratios import ratio_of_sums, sum_when
 from countypanel.operators import filters, joins, quality, reshape
-from countypanel.plans import analysis, extensions, metrics, raw, star
+from countypanel.plans import analysis, build, extensions, metrics, raw, star
 from countypanel.plans.contracts import CHECKS
 from countypanel.sources import delimited, json_matrix, reference_data, tables
 from harness.adapter import YEAR_SHIFT, TestTables, scratch
@@ -64,18 +66,23 @@ def src_json_matrix(t: TestTables) -> DataFrame:
     return reshape.lower_names(df)
 
 
-@query(written=True)
-def src_json_matrix_rows(t: TestTables) -> DataFrame:
+def _land_rows(payload: DataFrame, columns: Sequence[str], root: str) -> None:
     """A row per line; every state of a year opens with the header, so no task gathers a whole year."""
-    root, group = scratch(t.spark), ["year", "state"]
-    header = F.concat(F.lit("["), F.to_json(F.array(*[F.lit(c) for c in raw.SAHIE_COLUMNS])), F.lit(","))
-    row = F.concat(F.to_json(F.array(*raw.SAHIE_COLUMNS)), F.lit(","))
-    rows = t.sahie_payload.select(*group, F.lit(1).alias("part"), row.alias("value"))
-    groups = t.sahie_payload.select(*group).distinct()
+    group = ["year", "state"]
+    header = F.concat(F.lit("["), F.to_json(F.array(*[F.lit(c) for c in columns])), F.lit(","))
+    row = F.concat(F.to_json(F.array(*columns)), F.lit(","))
+    rows = payload.select(*group, F.lit(1).alias("part"), row.alias("value"))
+    groups = payload.select(*group).distinct()
     first = groups.select(*group, F.lit(0).alias("part"), header.alias("value"))
     last = groups.select(*group, F.lit(2).alias("part"), F.lit("]").alias("value"))
     lines = reshape.union_all([rows, first, last]).repartition(*group).sortWithinPartitions(*group, "part")
     lines.select("year", "value").write.partitionBy("year").text(root)
+
+
+@query(written=True)
+def src_json_matrix_rows(t: TestTables) -> DataFrame:
+    root = scratch(t.spark)
+    _land_rows(t.sahie_payload, raw.SAHIE_COLUMNS, root)
     df = json_matrix.read_row_lines(t.spark, root, raw.SAHIE_COLUMNS, raw.SAHIE_YEARS)
     return reshape.lower_names(df)
 
@@ -85,17 +92,34 @@ def src_category_filter(t: TestTables) -> DataFrame:
     return filters.all_people_rows(reshape.lower_names(t.sahie_categories))
 
 
+def _land_padded(df: DataFrame, folder: str) -> None:
+    padded = df.select(*[F.concat(F.lit("  "), F.col(c), F.lit("   ")).alias(f"{c}    ") for c in df.columns])
+    writer = padded.write.option("sep", "\t").option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+
+
 @query()
 def src_tsv_trim(t: TestTables) -> DataFrame:
     folder = scratch(t.spark)
-    padded = t.bls_data.select(
-        *[F.concat(F.lit("  "), F.col(c), F.lit("   ")).alias(f"{c}    ") for c in t.bls_data.columns]
-    )
-    writer = padded.write.option("sep", "\t").option("header", True)
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    _land_padded(t.bls_data, folder)
     return delimited.read_padded_tsv(t.spark, folder).select("series_id", "year", "period", "value")
 
 
+@query(written=True)
+def src_tsv_malformed(t: TestTables) -> DataFrame:
+    """Observations landed with short, long and quoted lines among them: what is read, and the lines set aside."""
+    root, kind, tab = scratch(t.spark), F.col("value").cast("long") % 7, F.lit("\t")
+    value = F.when(kind == 2, F.concat(F.lit('"'), "value", F.lit('"'))).when(kind == 3, F.concat(F.lit('"'), "value", F.lit('\tx"')))
+    value = value.when(kind == 1, F.concat("value", F.lit("\textra"))).otherwise(F.col("value"))
+    line = F.when(kind == 0, F.concat("series_id", tab, "year", tab, "period")).otherwise(F.concat("series_id", tab, "year", tab, "period", tab, value))
+    rows = t.bls_data.select("year", F.lit(1).alias("part"), line.alias("value"))
+    first = t.bls_data.select("year").distinct().withColumn("part", F.lit(0)).withColumn("value", F.lit("series_id\t year \tperiod\tvalue"))
+    lines = rows.unionByName(first).repartition("year").sortWithinPartitions("year", "part")
+    lines.select(F.col("year").alias("file_year"), "value").write.partitionBy("file_year").text(root)
+    read = delimited.read_padded_tsv(t.spark, f"{root}/*/*").withColumn("line", F.lit(None).cast("string"))
+    return read.unionByName(delimited.malformed_tsv_lines(t.spark, f"{root}/*/*"), allowMissingColumns=True)
+
+
 @query(written=True)
 def src_multi_schema_union(t: TestTables) -> DataFrame:
     root = scratch(t.spark)
@@ -104,14 +128,44 @@ def src_multi_schema_union(t: TestTables) -> DataFrame:
     return raw.load_ahrq(t.spark, f"{root}/*/*")
 
 
+def _own_table(name: str) -> str:
+    """A table name that no other run uses."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 @query()
 def sink_rowcount(t: TestTables) -> DataFrame:
-    """Write the whole raw insurance table and report the rows counted on the way."""
-    n_rows = tables.write_files(t.sahie_raw, scratch(t.spark), ("year",))
+    """Store the whole raw insurance table and report the rows counted on the way."""
+    n_rows = tables.replace_table(t.sahie_raw, _own_table("sahie"), "raw", ("year",))
     counted = F.lit(n_rows).cast("long").alias("n_rows")
     return t.spark.range(1).select(F.lit("sahie_uninsured").alias("table_name"), counted)
 
 
+@query(written=True)
+def sink_landed_years(t: TestTables) -> DataFrame:
+    """Two years that land again, under other names, replace those of a table of seven."""
+    name = _own_table("sahie")
+    tables.replace_table(t.sahie_raw, name, "raw", ("year",))
+    again = t.sahie_raw.filter(F.col("year").isin(2018, 2020)).withColumn("name", F.concat(F.lit("Again "), "name"))
+    tables.replace_partitions(again, name, "raw", ("year",))
+    return t.spark.table(tables.table_name(name, "raw"))
+
+
+@query(written=True)
+def panel_build(t: TestTables) -> DataFrame:
+    """The fact that a whole build stores: sources landed as files, raw tables, seeds, star and checks."""
+    landing = scratch(t.spark)
+    _land_rows(t.sahie_payload, raw.SAHIE_COLUMNS, f"{landing}/sahie")
+    _land_rows(t.acs_payload, raw.ACS_COLUMNS, f"{landing}/acs")
+    _land_padded(t.bls_series, f"{landing}/bls/la.series")
+    _land_padded(t.bls_data, f"{landing}/bls/la.data.64.County")
+    for version, layout in zip(("1_0", "2_0"), t.ahrq_layouts()):
+        files = layout.filter("file_year <= 2020").drop("file_year").write.option("header", True)
+        files.csv(f"{landing}/ahrq/clh_2016_county_{version}.csv")
+    build.build_panel(t.spark, build.file_loaders(landing), fail_on_checks=False, allow_fewer_years=True)
+    return t.spark.table(tables.table_name("fct_county_year", "dimensional"))
+
+
 @query(written=True)
 def optional_source_empty(t: TestTables) -> DataFrame:
     return t.fact_without_ahrq
@@ -466,6 +520,11 @@ def trend_by_both(t: TestTables) -> DataFrame:
     return rounded(analysis.trend_by_both(_trends(t)), *MEASURES)
 
 
+@query(written=True)
+def trend_all_groupings(t: TestTables) -> DataFrame:
+    return rounded(analysis.trend_all_groupings(_trends(t)), *MEASURES)
+
+
 @query(written=True)
 def era_ordered(t: TestTables) -> DataFrame:
     trend = analysis.trend_by_era(_trends(t), ["pct_uninsured"])
@@ -573,6 +632,19 @@ def quality_report(t: TestTables) -> DataFrame:
     return quality.run_checks(checked, CHECKS)
 
 
+@query()
+def check_types(t: TestTables) -> DataFrame:
+    """Columns of the stored tables that break a contract with wrong types, a column too many and one too few."""
+    declared = {
+        "orders": "o_orderkey long, o_custkey string, o_orderstatus string, o_totalprice double, o_orderpriority string, o_comment string",
+        "nation": "n_nationkey long, n_name string, n_regionkey long",
+        "events": "event_id long, ts string, user_id long, event_type string, value double, props string",
+        "customer": "c_custkey long, c_name string, c_nationkey long, c_acctbal double, c_mktsegment string",
+    }
+    contracts = {name: schemas._schema(columns) for name, columns in declared.items()}
+    return schemas.check_types({name: t.table(name) for name in contracts}, contracts)
+
+
 # --- the same operators on the larger tables -------------------------------------------------------
 
 

@@ -1,10 +1,12 @@
 import json
+import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from countypanel import schemas
 from countypanel.operators import quality
-from countypanel.sources import json_matrix
+from countypanel.sources import json_matrix, tables
 from countypanel.plans import analysis, build, metrics, raw
 from countypanel.plans.contracts import CHECKS
 from countypanel.sources.reference_data import local_table
@@ -100,14 +102,25 @@ def test_single_checks_return_rows(spark):
     assert values(quality.relationships(df, "k", parent, "id"), "k", "n_rows") == [("b", 1)]
 
 
-def test_row_level_checks_are_one_scan_and_key_checks_read_the_key(spark, tmp_path):
-    panel = clean(spark)
-    panel.stg_sahie.write.parquet(str(tmp_path / "stg"))
-    stored = spark.read.parquet(str(tmp_path / "stg"))
-    text = plan(quality.check_table("stg_sahie", stored, CHECKS["stg_sahie"], {}))
-    assert text.count("FileScan") == 2
-    assert "ReadSchema: struct<county_year_key:string>" in text
-    assert text.count("hashpartitioning") == 1
+def test_all_checks_of_a_table_are_one_scan(spark, tmp_path):
+    tables_ = clean(spark).tables()
+    for name, df in tables_.items():
+        df.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in tables_}
+    text = plan(quality.check_table("stg_sahie", stored["stg_sahie"], CHECKS["stg_sahie"], {}))
+    assert text.count("FileScan") == 1 and "Join" not in text.replace("BroadcastHashJoin", "").replace("joinType", "")
+    every = quality.run_checks(stored, CHECKS)  # parents among them
+    assert plan(every).count("FileScan") == len(stored) and len(report(every)) == 40
+    assert "county_name" not in plan(every)
+
+
+def test_declared_types(spark):
+    df = frame(spark, "a string, b long", ("x", 1), ("y", 2))
+    contract = schemas._schema("a string, b double, c long")
+    assert schemas.check_types({"t": df}, {"t": df.schema}).count() == 0
+    got = schemas.check_types({"t": df.withColumn("d", F.lit(1)), "u": df}, {"t": contract, "u": df.schema})
+    assert values(got, "table_name", "column_name", "expected_type", "found_type", "n_rows") == sorted(
+        [("t", "b", "double", "bigint", 2), ("t", "c", "bigint", None, 2), ("t", "d", None, "int", 2)], key=repr)
 
 
 # --- build -----------------------------------------------------------------------------------------
@@ -150,7 +163,7 @@ def landing(tmp_path_factory):
 
 def drop_raw(spark):
     for name, _ in build.RAW_TABLES.values():
-        spark.sql(f"DROP TABLE IF EXISTS raw.{name}")
+        tables.drop_table(spark, name, "raw")
 
 
 def test_build_from_landed_files(spark, landing):
@@ -160,7 +173,7 @@ def test_build_from_landed_files(spark, landing):
     assert values(fact, "county_fips", "year", "labor_force_level", "total_mds") == [
         ("01001", y, 100.0, 3.0 if y == 2018 else None) for y in range(2017, 2023)
     ]
-    assert [r[0] for r in spark.sql("SHOW PARTITIONS dimensional.fct_county_year").collect()] == [
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {tables.current_version(spark, 'fct_county_year', 'dimensional')}").collect()] == [
         f"year={y}" for y in range(2017, 2023)
     ]
     assert spark.table("stg_sahie").count() == 6
@@ -232,13 +245,49 @@ def test_an_unreadable_health_file_is_an_error(spark, monkeypatch, landing):
 def test_seeds_from_files_and_failing_checks(spark, landing, tmp_path):
     (tmp_path / "state_fips_lookup.csv").write_text("state_fips,state_name,state_abbr,census_region,census_division\n02,Alaska,AK,West,Pacific\n")
     (tmp_path / "policy_eras.csv").write_text("era_name,president,start_year,end_year,color_hex\nNew,Somebody,2016,2030,#000000\n")
-    (tmp_path / "medicaid_expansion_status.csv").write_text("state_fips,state_name,state_abbr,expansion_status,expansion_year\n02,Alaska,AK,expanded,2015\n")
+    (tmp_path / "medicaid_expansion_status.csv").write_text("state_fips,state_name,state_abbr,expansion_status,expansion_year\n02,Alaska,AK,perhaps,2015\n")
     loaders = build.file_loaders(landing)
-    with pytest.raises(build.PanelCheckError, match="dim_year.era_name accepted_values") as caught:
+    with pytest.raises(build.PanelCheckError, match="medicaid_expansion_status.expansion_status accepted_values") as caught:
         build.build_panel(spark, loaders, seeds=str(tmp_path))
-    assert caught.value.report.filter("failing_rows > 0").count() > 0
-    assert {r.era_name for r in spark.table("dimensional.dim_year").collect()} == {"New"}
-    assert build.build_panel(spark, loaders, seeds=str(tmp_path), fail_on_checks=False).filter("failing_rows > 0").count() > 0
+    failing = {(r.table_name, r.column_name) for r in caught.value.report.filter("failing_rows > 0").collect()}
+    assert failing == {("medicaid_expansion_status", "expansion_status"), ("dim_county", "is_expansion_state")}
+    assert {r.era_name for r in spark.table("dimensional.dim_year").collect()} == {"New"}  # and these are the accepted ones
+    assert build.build_panel(spark, loaders, seeds=str(tmp_path), fail_on_checks=False).filter("failing_rows > 0").count() == 2
+    spans = analysis.era_spans(spark.table("seeds.policy_eras"))
+    assert spans == [("New", 2016, 2030)]
+    assert spark.range(1).select(analysis.era_of_year(F.lit(2016), spans), analysis.era_of_year(F.lit(2015), spans)).first()[:] == ("New", "pre-era")
+
+
+def test_build_options_reach_the_loaders(spark, landing, tmp_path):
+    drop_raw(spark)
+    build.build_panel(spark, build.file_loaders(landing), fail_on_checks=False)
+    shutil.copytree(landing, tmp_path / "fewer")
+    for source in ("sahie", "acs"):
+        for year in (2016, 2019, 2022):
+            shutil.rmtree(tmp_path / "fewer" / source / f"year={year}")
+    (tmp_path / "fewer" / "ahrq" / "clh_2020_county_2_0.csv").write_text("")
+    fewer = str(tmp_path / "fewer")
+    with pytest.warns(UserWarning), pytest.raises(build.SourceLoadError, match="landed_years_only keeps them"):
+        build.build_panel(spark, build.file_loaders(fewer, skip_unreadable=True), fail_on_checks=False)
+    with pytest.raises(build.SourceLoadError, match="clh_2020"):
+        build.build_panel(spark, build.file_loaders(fewer), only=["ahrq"], fail_on_checks=False)
+    with pytest.warns(UserWarning):
+        build.build_panel(spark, build.file_loaders(fewer, skip_unreadable=True), fail_on_checks=False, landed_years_only=True)
+    assert spark.table("raw.sahie_uninsured").select("year").distinct().count() == 7
+    with pytest.warns(UserWarning):
+        build.build_panel(spark, build.file_loaders(fewer, skip_unreadable=True), fail_on_checks=False, allow_fewer_years=True)
+    assert sorted(r.year for r in spark.table("raw.sahie_uninsured").select("year").distinct().collect()) == [2017, 2018, 2020, 2021]
+
+
+def test_malformed_lines_are_in_the_report(spark, landing, tmp_path):
+    shutil.copytree(landing, tmp_path / "torn")
+    for file, lines in (("la.data.64.County", "LAUCN01\t2018\n\nLAUCN01\t2018\tM13\t5\tx\ty\tz\n"), ("la.series", "lonely\n")):
+        path = tmp_path / "torn" / "bls" / file
+        path.write_text(path.read_text() + lines)
+    whole = build.load_sources(spark, build.file_loaders(landing), only=["bls"], allow_fewer_years=True)
+    torn = build.load_sources(spark, build.file_loaders(str(tmp_path / "torn")), only=["bls"])
+    assert whole.malformed == {} and torn.rows == whole.rows
+    assert {k.rsplit("/", 1)[1]: n for k, n in torn.malformed["bls"].items()} == {"la.data.64.County": 2, "la.series": 1}
 
 
 def test_a_source_that_breaks_its_contract_is_refused(spark, landing):

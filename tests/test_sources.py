@@ -1,10 +1,13 @@
+import gzip
 import json
+import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from countypanel import schemas
 from countypanel.plans import raw
-from countypanel.sources import delimited, json_matrix, reference_data, tables
+from countypanel.sources import delimited, headers, json_matrix, reference_data, tables
 from tests.helpers import frame, values
 
 
@@ -123,6 +126,35 @@ def test_files_with_one_layout_share_a_scan(spark, tmp_path):
     assert sorted(len(g) for g in groups.values()) == [1, 2] and unreadable == []
 
 
+def test_headers_of_a_thousand_files_take_one_job(spark, tmp_path):
+    for i in range(1000):
+        (tmp_path / f"part {i:04}.csv").write_text(f"\n k{i % 3} ,v\n1,2\n" if i else "")
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as f:
+        f.write("k0,v\n1,2\n")
+    files = delimited.list_files(spark, str(tmp_path))
+    status, group = spark.sparkContext.statusTracker(), "headers of a thousand files"
+    spark.sparkContext.setJobGroup(group, group)
+    lines, errors = headers.first_lines(spark, [*files, "file:/no/such/file.csv"])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(status.getJobIdsForGroup(group)) == 1
+    assert len(files) == 1001 and set(lines) == set(files) and list(errors) == ["file:/no/such/file.csv"]
+    groups = headers.spread_files({f: line for f, line in lines.items() if line})
+    assert {k: len(v) for k, v in groups.items()} == {("k0", "v"): 334, ("k1", "v"): 333, ("k2", "v"): 333}
+    assert headers._by_scan(spark, files[:3] + files[-1:]) == {f: lines[f] for f in files[:3] + files[-1:] if lines[f]}
+    assert headers.column_names('a, ,"b,c",A') == ("a0", "_c1", "b,c", "A3") and headers.column_names("") == ()
+
+
+def test_malformed_lines_are_set_aside_and_counted(spark, tmp_path):
+    path = tmp_path / "torn.tsv"
+    path.write_text('a\t b\tc \n1\t2\t3\n1\t2\n1\t2\t3\t4\n\n"x\ty"\t"z"\t\n')
+    log = delimited.ScanLog()
+    df = delimited.read_padded_tsv(spark, str(path), log)
+    assert values(df, "a", "b", "c") == sorted([("1", "2", "3"), ("x\ty", "z", None)], key=repr)
+    assert log.take() == {str(path): 2} and log.take() == {}
+    assert df.count() == 2 and df.select("b").filter("b = '2'").count() == 1
+    assert sorted(r["line"] for r in delimited.malformed_tsv_lines(spark, str(path)).collect()) == ["1\t2", "1\t2\t3\t4"]
+
+
 def test_unreadable_file_is_skipped_only_on_request(spark, tmp_path):
     folder = tmp_path / "ahrq"
     write_ahrq(folder)
@@ -169,7 +201,98 @@ def test_replace_table_counts_and_replaces(spark):
     assert tables.replace_table(first, "things", "testlayer", ("year",)) == 3
     assert tables.replace_table(first.filter("k = 'a'"), "things", "testlayer", ("year",)) == 1
     assert spark.table("testlayer.things").count() == 1
-    assert not spark.catalog.tableExists("testlayer.things__loading")
+    assert tables.replace_table(first.select("year", "k"), "things", "testlayer") == 3
+    assert spark.table("testlayer.things").columns == ["year", "k"]
+    assert len(tables.versions(spark, "things", "testlayer")) == 2
+    spark.sql("CREATE TABLE testlayer.plain USING parquet AS SELECT 1 AS k")  # as another program has left it
+    assert tables.replace_table(first, "plain", "testlayer") == 3 and spark.table("testlayer.plain").count() == 3
+    tables.drop_table(spark, "things", "testlayer")
+    assert not spark.catalog.tableExists("testlayer.things") and not tables.versions(spark, "things", "testlayer")
+
+
+def test_a_reader_finds_old_rows_or_new_ones_at_any_time(spark):
+    old, new = spark.range(1000).withColumn("year", F.col("id") % 3), spark.range(1000, 3000).withColumn("year", F.col("id") % 4)
+    tables.replace_table(old, "busy", "testlayer", ("year",))
+    begun, seen, stop = spark.table("testlayer.busy"), [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(spark.table("testlayer.busy").agg(F.count("id"), F.min("id")).first()[:])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        tables.replace_table(new, "busy", "testlayer", ("year",))
+    finally:
+        stop.set()
+        reader.join()
+    seen.append(spark.table("testlayer.busy").agg(F.count("id"), F.min("id")).first()[:])
+    assert set(seen) <= {(1000, 0), (2000, 1000)} and seen[-1] == (2000, 1000)
+    assert begun.count() == 1000  # planned before, its version is still there
+
+
+def test_a_break_at_any_step_loses_nothing(spark, monkeypatch):
+    old, new = frame(spark, "k string, y string", ("1", "it's"), ("2", None)), frame(spark, "k string, y string", ("3", "a=b/c"))
+    tables.replace_table(old, "torn", "testlayer", ("y",))
+    whole = values(spark.table("testlayer.torn"), "k", "y")
+    assert whole == [("1", "it's"), ("2", None)]
+    steps = {(type(spark), "sql"), (type(old.write), "saveAsTable"), (type(old.write), "insertInto")}
+    for at in range(1, 20):
+        calls = iter(range(1, 100))
+
+        def broken(f):
+            def run(*args, **named):
+                if next(calls) == at:
+                    raise RuntimeError("catalog is away")
+                return f(*args, **named)
+
+            return run
+
+        with monkeypatch.context() as patch:
+            for owner, name in steps:
+                patch.setattr(owner, name, broken(getattr(owner, name)))
+            try:
+                tables.replace_table(new, "torn", "testlayer", ("y",))
+                done = True
+            except RuntimeError:
+                done = False
+        now = values(spark.table("testlayer.torn"), "k", "y")
+        assert now in ([("3", "a=b/c")], whole) and (now != whole or not done)
+        tables.replace_table(old, "torn", "testlayer", ("y",))
+        assert values(spark.table("testlayer.torn"), "k", "y") == whole and len(tables.versions(spark, "torn", "testlayer")) <= 2
+        if done:
+            break
+    assert done and at > 5
+
+
+def test_statements_do_not_grow_with_the_partitions(spark, monkeypatch):
+    def statements(n):
+        said = []
+        with monkeypatch.context() as patch:
+            sql = type(spark).sql
+            patch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text) or sql(self, text, *a, **k))
+            for _ in range(2):
+                tables.replace_table(spark.range(n).withColumn("p", F.col("id")), f"parts{n}", "testlayer", ("p",))
+        assert spark.table(f"testlayer.parts{n}").filter("p >= 0").count() == n
+        return len(said)
+
+    assert statements(500) == statements(3)
+
+
+def test_landed_partitions_are_replaced_and_others_kept(spark):
+    seven = frame(spark, "k string, year long", *[(f"old{y}", y) for y in range(2016, 2023)], ("none", None))
+    assert tables.replace_partitions(seven, "years", "testlayer") == 8
+    kept = {f for f in spark.table("testlayer.years").inputFiles() if "year=2017" not in f and "year=2020" not in f}
+    landed = frame(spark, "year long, k string", (2017, "new2017"), (2020, "new2020"), (2030, "new2030"))
+    assert tables.replace_partitions(landed, "years", "testlayer") == 3
+    assert values(spark.table("testlayer.years"), "year", "k") == sorted(
+        [(y, f"{'new' if y in (2017, 2020, 2030) else 'old'}{y}") for y in [*range(2016, 2023), 2030]] + [(None, "none")], key=repr)
+    assert kept <= set(spark.table("testlayer.years").inputFiles())
+    with pytest.raises(ValueError, match="has the columns"):
+        tables.replace_partitions(landed.withColumn("more", F.lit(1)), "years", "testlayer")
+    tables.replace_table(seven, "flat", "testlayer")
+    with pytest.raises(ValueError, match="not stored by"):
+        tables.replace_partitions(seven, "flat", "testlayer")
 
 
 def test_writing_nothing_counts_nothing(spark):
@@ -193,28 +316,6 @@ def test_failed_load_keeps_the_old_table(spark):
     assert spark.table("testlayer.kept").count() == 1
 
 
-def test_a_broken_switch_loses_nothing(spark, monkeypatch):
-    old, new = frame(spark, "k string, y string", ("1", "it's"), ("2", None)), frame(spark, "k string, y string", ("3", "a=b/c"))
-    tables.replace_table(old, "swapped", "testlayer", ("y",))
-    assert values(spark.table("testlayer.swapped"), "k", "y") == [("1", "it's"), ("2", None)]
-    rename = tables._rename
-
-    def broken(spark, table, name):
-        if table.endswith("__loading"):
-            raise RuntimeError("catalog is away")
-        rename(spark, table, name)
-
-    monkeypatch.setattr(tables, "_rename", broken)
-    with pytest.raises(RuntimeError, match="catalog is away"):
-        tables.replace_table(new, "swapped", "testlayer", ("y",))
-    assert values(spark.table("testlayer.swapped"), "k", "y") == [("1", "it's"), ("2", None)]
-    monkeypatch.undo()
-    spark.sql("ALTER TABLE testlayer.swapped RENAME TO testlayer.swapped__previous")  # as a driver leaves it that dies in between
-    assert tables.replace_table(new, "swapped", "testlayer", ("y",)) == 1
-    assert values(spark.table("testlayer.swapped"), "k", "y") == [("3", "a=b/c")]
-    assert not spark.catalog.tableExists("testlayer.swapped__previous")
-
-
 def test_layer_names():
     assert tables.layer_name(" raw ") == "raw"
     assert tables.layer_name() == "main"

@@ -3,13 +3,14 @@
 A text is cut into the matches of the split pattern. The distinct matches of a batch become token-position
 rows in DuckDB; a recursive query joins neighbouring rows with the merge table and contracts, in every word at
 once, the leftmost pair of the lowest rank, until no pair is left. An ordered aggregation turns the tokens of
-a word into its ids, and the bytes of those ids, in order, into the decoded bytes.
+a word into its ids. A document's ids are those of its words in order, and decoding puts the bytes of its ids in order.
 
 Defined results: a null text counts as empty, and an empty text has no tokens. Repeated rows are encoded each for
 itself. Other columns of the input are ignored.
 
-Bounded memory: a batch holds at most `batch_words` new distinct words per DuckDB query, and fewer if their rows of all
-rounds, which the query keeps, could pass BATCH_ROWS; a worker forgets its words once it knows `known_words` of them. A
+Bounded memory: a query holds at most `batch_words` new distinct words, and fewer if their rows of all rounds, which it
+keeps, could pass BATCH_ROWS. A worker remembers the packed ids of words and forgets those it hasn't met for longest once they
+take `known_bytes`; it holds twice as much at most, and what was forgotten is encoded again. A
 recursive query contracts one pair of a word per round, so a word's rows and time grow with the square of its length; words of more than SQL_BYTES bytes (in practice lines without any
 space) are contracted by the same rule with a heap instead.
 """
@@ -35,7 +36,11 @@ from countypanel.llm.common import table, text_of
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SQL_BYTES = 200
 #: Rows of all rounds of a query, each of some 24 bytes; grouping and joining them takes several times as much, within DuckDB's limit.
-BATCH_ROWS = 4_000_000
+BATCH_ROWS = 1_000_000
+#: Characters of texts whose pieces are looked up at a time.
+TEXT_CHARS = 2_000_000
+#: What a remembered word takes besides its characters and ids: two objects and its share of a table that is up to two thirds empty.
+ENTRY_BYTES = 49 + 33 + 160
 
 #: Position bits in a row's key and in the packed minimum.
 _BITS = 9
@@ -69,8 +74,8 @@ WITH RECURSIVE step(n, k, e, t) AS (
 ), final AS (
     SELECT k >> {_BITS} AS w, max(n) AS n FROM step GROUP BY 1
 )
-SELECT final.w, string_agg(step.t, ',' ORDER BY step.k) AS ids, string_agg(tokens.hex, '' ORDER BY step.k) AS hex
-FROM step JOIN final ON step.k >> {_BITS} = final.w AND step.n = final.n JOIN tokens ON tokens.t = step.t
+SELECT final.w, list(step.t ORDER BY step.k) AS ids
+FROM step JOIN final ON step.k >> {_BITS} = final.w AND step.n = final.n
 GROUP BY 1 ORDER BY 1
 """
 
@@ -78,7 +83,7 @@ GROUP BY 1 ORDER BY 1
 class Codec:
     """Encodes words by the ranks of one vocabulary; keeps the ids of what it has encoded, up to a bound."""
 
-    def __init__(self, path: str, pattern: str, batch_words: int, known_words: int) -> None:
+    def __init__(self, path: str, pattern: str, batch_words: int, known_bytes: int) -> None:
         import duckdb
         import regex
 
@@ -92,20 +97,23 @@ class Codec:
         #: Python's own expressions are several times faster; they agree on texts of plain characters.
         self.plain_text = re.compile(pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d"))
         self.plain: set[str] = set()
-        self.batch_words, self.known_words = batch_words, known_words
-        self.known: dict[str, tuple[str, bytes]] = {}
-        self.older: dict[str, tuple[str, bytes]] = {}
+        self.batch_words, self.known_bytes = batch_words, known_bytes
+        self.packed = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
+        self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
+        every = np.arange(size).astype(self.packed).tobytes()
+        self.single = [every[i : i + self.packed.itemsize] for i in range(0, len(every), self.packed.itemsize)]
         pairs: dict[int, int] = {}
         for b, i in self.ranks.items():
             for cut in range(1, len(b)):
                 left, right = self.ranks.get(b[:cut]), self.ranks.get(b[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = i
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "128MB", "temp_directory": ""})
         merges = pa.table({"pair": pa.array(pairs.keys(), pa.int64()), "merged": pa.array(pairs.values(), pa.int32())})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
-        tokens = pa.table({"t": pa.array(self.ranks.values(), pa.int32()), "hex": [b.hex() for b in self.ranks]})  # noqa: F841
-        self.db.execute("CREATE TABLE tokens AS SELECT * FROM tokens")
 
     def split(self, text: str) -> list[str]:
         """The matches of the pattern."""
@@ -130,40 +138,44 @@ class Codec:
         return out
 
     def learn(self, pieces: set[str]) -> None:
-        """Makes self.known hold every one of pieces: its ids, joined by commas, and the bytes that they decode to."""
-        if len(self.known) > self.known_words:  # what was used since the last time stays
-            self.known, self.older = {}, self.known
-        fresh = [x for x in pieces if x not in self.known]
-        found = {}
-        todo: dict[str, tuple[str, bytes] | None] = {}
+        """Makes self.known hold the packed ids of every one of pieces."""
+        if self.held > self.known_bytes:  # what was used since the last time stays
+            self.known, self.older, self.held = {}, self.known, 0
+        known, older = self.known, self.older
+        fresh = pieces.difference(known)
+        if older:
+            again = fresh.intersection(older)
+            fresh -= again
+            for x in again:
+                self._keep(x, older[x])
+        whole, found, words = {}, {}, set()
         for x in fresh:
-            if (entry := self.older.get(x)) is not None:
-                self.known[x] = entry
+            if x[1:].isalpha() and x[0] == " ":  # one word for sure
+                words.add(x)
             else:
-                found[x] = words = self.split(x)
-                todo.update(dict.fromkeys(words))
+                found[x] = self.split(x)
+                words.update(found[x])
         batch = []
-        for w in todo:
-            todo[w] = self.known.get(w) or self.older.get(w)
-            if todo[w] is None:
+        for w in words:
+            if (ids := known.get(w) or older.get(w)) is None:
                 b = w.encode()
-                whole = self.ranks.get(b)
-                if whole is not None:
-                    todo[w] = self.names[whole], self.tokens[whole]
+                if (token := self.ranks.get(b)) is not None:
+                    ids = self.single[token]
                 elif len(b) > SQL_BYTES:
-                    ids = self.by_heap(b)
-                    todo[w] = ",".join([self.names[i] for i in ids]), b"".join([self.tokens[i] for i in ids])
+                    ids = np.array(self.by_heap(b), self.packed).tobytes()
                 else:
                     batch.append((w, b))
+                    continue
+            whole[w] = ids
         for part in self.batches(batch):
-            for (w, _), entry in zip(part, self._merge([b for _, b in part]), strict=True):
-                todo[w] = entry
-        for x, words in found.items():
-            if len(words) == 1:
-                self.known[x] = todo[words[0]]
-            else:
-                entries = [todo[w] for w in words]
-                self.known[x] = ",".join([e[0] for e in entries]), b"".join([e[1] for e in entries])
+            for (w, _), ids in zip(part, self._merge([b for _, b in part]), strict=True):
+                whole[w] = ids
+        for x in fresh:
+            self._keep(x, b"".join([whole[w] for w in found[x]]) if x in found else whole[x])
+
+    def _keep(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += ENTRY_BYTES + len(piece) + len(ids)
 
     def batches(self, words: list[tuple[str, bytes]]) -> Iterator[list[tuple[str, bytes]]]:
         """words in parts of at most batch_words words and, by n (n + 1) / 2 for n bytes, BATCH_ROWS rows; a word has fewer."""
@@ -177,17 +189,18 @@ class Codec:
         if words:
             yield words[start:]
 
-    def _merge(self, words: list[bytes]) -> Iterator[tuple[str, bytes]]:
+    def _merge(self, words: list[bytes]) -> list[bytes]:
         lengths = np.array(list(map(len, words)))
         start = np.repeat(np.cumsum(lengths) - lengths, lengths)
         at = np.arange(lengths.sum()) - start
-        single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         seed = pa.table({  # noqa: F841
             "k": np.repeat(np.arange(len(words), dtype=np.int64), lengths) << _BITS | at, "e": at + 1,
-            "t": single[np.frombuffer(b"".join(words), np.uint8)],
+            "t": self.bytes[np.frombuffer(b"".join(words), np.uint8)],
         })
         found = self.db.sql(_MERGE_ALL).to_arrow_table()
-        return zip(found.column("ids").to_pylist(), map(bytes.fromhex, found.column("hex").to_pylist()), strict=True)
+        ids = found.column("ids").combine_chunks()
+        flat, ends = ids.flatten().to_numpy().astype(self.packed).tobytes(), (np.cumsum(ids.value_lengths().to_numpy()) * self.packed.itemsize).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def by_heap(self, word: bytes) -> list[int]:
         """The ids of one long word: lowest rank first, leftmost among equals."""
@@ -214,37 +227,38 @@ class Codec:
                     heapq.heappush(heap, (r, x, ends[ends[x]]))
         return [self.ranks[word[at : ends[at]]] for at in range(len(word)) if alive[at]]
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[int, str, bytes]]:
-        """For each text: the number of tokens, the ids joined by commas, the bytes that they decode to."""
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text."""
         held, size = [], 0
         for at, text in enumerate(texts):
             held.append(self.pieces(text) if text else [])
             size += len(text)
-            if size < 4_000_000 and at + 1 < len(texts):
+            if size < TEXT_CHARS and at + 1 < len(texts):
                 continue
             self.learn(set().union(*held))
             for pieces in held:
-                entries = [self.known[x] for x in pieces]
-                ids = ",".join([e[0] for e in entries])
-                yield ids.count(",") + 1 if ids else 0, ids, b"".join([e[1] for e in entries])
+                yield np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), self.packed).tolist()
             held, size = [], 0
 
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
+
 
 _LOOSE = re.compile(f" [{_SPACES}]|[{_SPACES}] |^ | $")
 
 
 @lru_cache(maxsize=2)
-def codec(path: str, pattern: str, batch_words: int, known_words: int) -> Codec:
+def codec(path: str, pattern: str, batch_words: int, known_bytes: int) -> Codec:
     """One per Python worker; later tasks of the worker find the words of earlier ones.
 
     Nothing here makes reference cycles, and looking for them among the known words takes a quarter of the time.
     """
     gc.disable()
-    return Codec(path, pattern, batch_words, known_words)
+    return Codec(path, pattern, batch_words, known_bytes)
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, batch_words: int = 40_000, known_words: int = 400_000
+    docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, batch_words: int = 10_000, known_bytes: int = 48_000_000
 ) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; with keep_ids also ids, array of int.
 
@@ -254,16 +268,19 @@ def encode(
     fields = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern, batch_words, known_words)
+        own = codec(path, pattern, batch_words, known_bytes)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            rows = [(n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(raw).hexdigest(), ids if keep_ids else None)
-                    for n, ids, raw in own.encode(texts)]
+            rows = []
+            for ids in own.encode(texts):
+                listed = ",".join(map(own.names.__getitem__, ids))
+                raw = own.decode(ids)
+                rows.append((len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(raw).hexdigest(), ids if keep_ids else None))
             cols = [batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
                     pa.array([r[2] for r in rows], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                cols.append(pa.array([[int(i) for i in r[3].split(",")] if r[3] else [] for r in rows], pa.list_(pa.int32())))
+                cols.append(pa.array([r[3] for r in rows], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names)
 

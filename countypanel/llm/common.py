@@ -70,8 +70,8 @@ def fold(doc_id: str = "doc_id") -> F.Column:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     """doc_id, text, fold and label (int) of at most max_rows labelled rows, none of them held out.
 
-    The bound keeps training independent of the corpus; rows are picked by a hash of their id. Ids that are
-    null or have contradicting labels are left out.
+    The bound keeps training independent of the corpus; ids are picked by a hash. Ids that are
+    null or have contradicting labels are left out, and of several rows of an id the first by the hash of its text counts.
     """
     ids = (
         labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label"))
@@ -81,4 +81,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int)
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
     rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(ids), "doc_id")
-    return rows.withColumn("fold", fold())
+    one = rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    return one.select("doc_id", F.col("first.text").alias("text"), "label", fold().alias("fold"))

@@ -112,14 +112,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of docs for each component: the one with the smallest doc_id. Rows without doc_id stay."""
+    """One row of docs for each component: the one with the smallest doc_id. Rows without doc_id stay.
+
+    Of several rows with that id the first one by the hash of its text stays, then by its text and its other columns in order.
+    """
     found = near_duplicates(docs)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     ids = docs.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     repeated = ids.where("n > 1 AND doc_id IS NOT NULL").limit(1).count() > 0
     out = docs.join(kept, docs.doc_id == kept.kept_id, "left_semi")
     if repeated:
-        out = out.dropDuplicates(["doc_id"])
+        rest = [c for c in docs.columns if c != "doc_id"]
+        first = F.min(F.struct(F.xxhash64(text_of()).alias("_hash"), text_of().alias("_text"), *rest))
+        out = out.groupBy("doc_id").agg(first.alias("_first")).select(*[F.col(c if c == "doc_id" else f"_first.{c}") for c in docs.columns])
     return out.unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -49,15 +50,20 @@ def test_byte_bpe_of_the_test_table(spark, sf_dir):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in byte_bpe.op8_byte_bpe(spark, sf_dir).collect():
-        assert r.n_tokens == len(library.encode_ordinary(texts[r.doc_id]))
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def _ids(own, packed):
+    return np.frombuffer(packed, own.packed).tolist()
+
+
 def test_long_words_are_contracted_by_the_same_rule():
     own = byte_bpe.codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 1000, 1000)
     for word in (b"the" * 40, "straße".encode() * 20, b"aaaabaaab" * 15):
-        (ids, raw), = own._merge([word])
-        assert ids == ",".join(map(str, own.by_heap(word))) and raw == word
+        (ids,) = own._merge([word])
+        assert _ids(own, ids) == own.by_heap(word) and own.decode(_ids(own, ids)) == word
 
 
 def test_many_long_words_fit_into_memory():
@@ -65,13 +71,33 @@ def test_many_long_words_fit_into_memory():
 
     rng = random.Random(5)
     words = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(60)) for _ in range(6000)]
-    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 40_000, 400_000)
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 10_000, 48_000_000)
     own.learn(set(words))
     for w in words:
-        ids, raw = own.known[w]
-        assert raw == w.encode()
+        assert own.decode(_ids(own, own.known[w])) == w.encode()
     for w in words[::100]:
-        assert own.known[w][0] == ",".join(map(str, own.by_heap(w.encode())))
+        assert _ids(own, own.known[w]) == own.by_heap(w.encode())
+
+
+def test_what_is_remembered_is_bounded():
+    import random
+
+    rng = random.Random(6)
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 2000, 300_000)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(800)) + " the same words" for _ in range(20)]
+    assert [own.decode(i) for i in own.encode(texts * 2)] == [t.encode() for t in texts * 2]
+    for t in texts:
+        assert [own.decode(i) for i in own.encode([t])] == [t.encode()]
+        assert own.held <= 300_000 + 800 * 400
+    assert len(own.known) + len(own.older) < 6000  # of 16,000 words
+
+
+def test_byte_bpe_of_an_empty_table_and_a_very_long_text(spark, documents):
+    path = public_tokenizers.path(byte_bpe.RANKS)
+    assert byte_bpe.encode(documents([(1, "a")]).limit(0), path, public_tokenizers.PATTERN).count() == 0
+    text = "some words, " * 400_000
+    (row,) = byte_bpe.encode(documents([(1, text)]), path, public_tokenizers.PATTERN).collect()
+    assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
 def test_token_counts_agree_with_the_library(spark, odd_documents, sf_dir):

@@ -9,8 +9,8 @@ Defined results: a null text counts as empty, and an empty text has no tokens. R
 itself. Other columns of the input are ignored.
 
 Bounded memory: a query holds at most `batch_words` new distinct words, and fewer if their rows of all rounds, which it
-keeps, could pass BATCH_ROWS. A worker remembers the packed ids of words and forgets those it hasn't met for longest once they
-take `known_bytes`; it holds twice as much at most, and what was forgotten is encoded again. A
+keeps, could pass BATCH_ROWS. A task remembers the packed ids of words and forgets those it hasn't met for longest once they
+take `known_bytes`; it holds twice as much at most, and what was forgotten is encoded again. All of it is given back when the task ends. A
 recursive query contracts one pair of a word per round, so a word's rows and time grow with the square of its length; words of more than SQL_BYTES bytes (in practice lines without any
 space) are contracted by the same rule with a heap instead.
 """
@@ -24,14 +24,13 @@ import heapq
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countypanel.llm.common import table, text_of
+from countypanel.llm.common import table, text_of, tidy
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SQL_BYTES = 200
@@ -247,16 +246,6 @@ class Codec:
 _LOOSE = re.compile(f" [{_SPACES}]|[{_SPACES}] |^ | $")
 
 
-@lru_cache(maxsize=2)
-def codec(path: str, pattern: str, batch_words: int, known_bytes: int) -> Codec:
-    """One per Python worker; later tasks of the worker find the words of earlier ones.
-
-    Nothing here makes reference cycles, and looking for them among the known words takes a quarter of the time.
-    """
-    gc.disable()
-    return Codec(path, pattern, batch_words, known_bytes)
-
-
 def encode(
     docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, batch_words: int = 10_000, known_bytes: int = 48_000_000
 ) -> DataFrame:
@@ -268,7 +257,8 @@ def encode(
     fields = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern, batch_words, known_bytes)
+        gc.disable()  # nothing here makes reference cycles, and looking for them among the words takes a quarter of the time
+        own = Codec(path, pattern, batch_words, known_bytes)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             rows = []
@@ -284,7 +274,7 @@ def encode(
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(run, fields)
+    return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(tidy(run), fields)
 
 
 def decode(ids: DataFrame, path: str) -> DataFrame:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +51,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, a task's function over batches, after which the worker gives back to the system what the task has freed.
+
+    Workers live on between tasks; without this each of them keeps the memory of its largest task.
+    """
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.enable()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # not every C library can
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return tidied
+
+
 def small(df: DataFrame, max_rows: int) -> DataFrame:
     """df, marked for broadcasting if it has at most max_rows rows; beyond that Spark shuffles the join.
 

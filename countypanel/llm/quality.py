@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countypanel.llm.common import held_out, table, text_of, training_rows
+from countypanel.llm.common import held_out, table, text_of, tidy, training_rows
 
 PASSAGE = 64
 #: At most so many labelled rows train the model.
@@ -160,7 +160,7 @@ def _measured(rows: DataFrame) -> DataFrame:
             flat = [[v for p in passages(t) for v in p] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(flat, pa.list_(pa.float32()))], ["doc_id", "label", "x"])
 
-    return rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id bigint, label int, x array<float>")
+    return rows.select("doc_id", "text", "label").mapInArrow(tidy(run), "doc_id bigint, label int, x array<float>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = TRAINING_ROWS, label: str = "quality") -> Model:
@@ -181,7 +181,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 scores.extend(model.score([passages(t) for t in texts[at : at + 256]]).tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(run, "doc_id bigint, score double")
+    return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(tidy(run), "doc_id bigint, score double")
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -195,7 +195,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
                 good = model.score([passages(t) for t in texts[i : i + 256]]) >= threshold
                 yield batch.slice(i, 256).filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

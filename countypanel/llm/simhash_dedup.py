@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countypanel.llm.common import stored, table, text_of
+from countypanel.llm.common import stored, table, text_of, tidy
 from countypanel.llm.components import components
 
 SHINGLE = 4
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = pa.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(tidy(run), "doc_id bigint, fp bigint")
 
 
 def _signed(bits: int) -> int:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from countypanel.llm.common import held_out, stored, table, text_of, training_rows
+from countypanel.llm.common import held_out, stored, table, text_of, tidy, training_rows
 
 #: At most so many labelled rows train lexicon, trees and calibration together.
 TRAINING_ROWS = 16_000
@@ -66,7 +66,7 @@ _CLASS = bytes(ord("U") if 65 <= b <= 90 else ord("x") if chr(b) in "!?" else or
 class Measure:
     """The features of texts under one lexicon."""
 
-    def __init__(self, words: list[str], beginnings: list[str], known_words: int = 300_000) -> None:
+    def __init__(self, words: list[str], beginnings: list[str], known_words: int = 100_000) -> None:
         self.words, self.beginnings = frozenset(words), frozenset(beginnings)
         self.folded = {_AGAIN.sub(r"\1", w): w for w in words}
         self.known: dict[str, int] = {}
@@ -158,7 +158,7 @@ def measured(docs: DataFrame, terms: tuple[list[str], list[str]], keep: list[str
             columns = [batch.column(i) for i in range(len(keep))] + [pa.array(c) for c in rows.T]
             yield pa.RecordBatch.from_arrays(columns, [*keep, *FEATURES])
 
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return docs.select(*keep, "text").mapInArrow(tidy(run), schema)
 
 
 @dataclass

@@ -60,7 +60,7 @@ def _ids(own, packed):
 
 
 def test_long_words_are_contracted_by_the_same_rule():
-    own = byte_bpe.codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 1000, 1000)
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 1000, 1000)
     for word in (b"the" * 40, "straße".encode() * 20, b"aaaabaaab" * 15):
         (ids,) = own._merge([word])
         assert _ids(own, ids) == own.by_heap(word) and own.decode(_ids(own, ids)) == word
@@ -309,6 +309,33 @@ def test_licenses_are_found_in_any_spelling(spark, documents):
     assert licenses.licenses(docs.limit(0)).count() == 0
 
 
+def test_notices_of_any_length_and_number_are_dropped(spark, documents):
+    mit = next(t for i, t in licenses.KNOWN_TEXTS if t.startswith("Perm"))
+    holders = "".join(f"Copyright (c) Maker Number {i} and Company\n" for i in range(30))
+    rows = [
+        (1, "Copyright (c) " + "A. Rele and B. Rele and " * 10 + "Sons\n\n" + mit), (2, holders + "\n" + mit),
+        (3, holders + "All rights reserved.\n" + mit), (4, "Copyright 2020 " + "x" * 2000 + "\n" + mit),
+        (5, "MIT License   Copyright 2020 " + "y " * 400 + " ".join(mit.split())),
+        (6, "Copyright law is long.\n\n" + mit), (7, "Copyright Somebody\n" + mit), (8, "Copyright (c) <year> Somebody\n\n" + mit),
+        (9, "Copyright (c) 2020 A\nCopyright B\nCopyright C\n\n" + mit),
+    ]
+    got = {r.doc_id for r in licenses.licenses(documents(rows)).where("whole_text").collect()}
+    assert got == {1, 2, 3, 4, 5, 9}
+
+
+def test_licenses_of_planted_texts_agree_with_their_sql(spark, documents):
+    import duckdb
+
+    full = sorted({t for _, t in licenses.known_texts()})
+    notices = ["", "Copyright (c) 2020 A\n", "Copyright A\n\n", "© by B\nAll rights reserved\n", "# (c) 1999 C permission is hereby granted\n", "Copyright notice is here\n\n"]
+    rows = [(i, n + t.replace("icense", "icence" if i % 2 else "icense") + "\n\nCopyright D\n" * (i % 3)) for i, (t, n) in enumerate((t, n) for t in full for n in notices)]
+    docs = documents([*rows, (900, None), (901, ""), (None, full[0])])
+    db = duckdb.connect()
+    db.register("documents", docs.toArrow())
+    got = sorted(map(str, map(tuple, licenses.licenses(docs).select("doc_id", "license_id", "whole_text", "in_lines").collect())))
+    assert got == sorted(map(str, db.sql(licenses.OP7_SQL).select("doc_id, license_id, whole_text, in_lines").fetchall())) and len(got) > 150
+
+
 def rewrapped(text, width):
     import textwrap
 

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,9 +36,9 @@ from countypanel.llm.common import table, text_of, tidy
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SQL_BYTES = 200
 #: Rows of all rounds of a query, each of some 24 bytes; grouping and joining them takes several times as much, within DuckDB's limit.
-BATCH_ROWS = 1_000_000
+BATCH_ROWS = 500_000
 #: Characters of texts whose pieces are looked up at a time.
-TEXT_CHARS = 2_000_000
+TEXT_CHARS = 1_000_000
 #: What a remembered word takes besides its characters and ids: two objects and its share of a table that is up to two thirds empty.
 ENTRY_BYTES = 49 + 33 + 160
 
@@ -110,7 +111,7 @@ class Codec:
                 left, right = self.ranks.get(b[:cut]), self.ranks.get(b[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = i
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "128MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "96MB", "temp_directory": ""})
         merges = pa.table({"pair": pa.array(pairs.keys(), pa.int64()), "merged": pa.array(pairs.values(), pa.int32())})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
 
@@ -226,18 +227,18 @@ class Codec:
                     heapq.heappush(heap, (r, x, ends[ends[x]]))
         return [self.ranks[word[at : ends[at]]] for at in range(len(word)) if alive[at]]
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """The ids of each text."""
-        held, size = [], 0
-        for at, text in enumerate(texts):
-            held.append(self.pieces(text) if text else [])
-            size += len(text)
-            if size < TEXT_CHARS and at + 1 < len(texts):
-                continue
+    def encode(self, texts: pa.Array) -> Iterator[list[int]]:
+        """The ids of each text; some TEXT_CHARS characters of them are taken out of the column at a time."""
+        sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(texts):
+            end = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + TEXT_CHARS, "right"))
+            end = max(start + 1, end)
+            held = [self.pieces(text) if text else [] for text in texts[start:end].to_pylist()]
             self.learn(set().union(*held))
             for pieces in held:
                 yield np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), self.packed).tolist()
-            held, size = [], 0
+            start = end
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -247,7 +248,7 @@ _LOOSE = re.compile(f" [{_SPACES}]|[{_SPACES}] |^ | $")
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, batch_words: int = 10_000, known_bytes: int = 48_000_000
+    docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, batch_words: int = 6_000, known_bytes: int = 28_000_000
 ) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; with keep_ids also ids, array of int.
 
@@ -260,9 +261,8 @@ def encode(
         gc.disable()  # nothing here makes reference cycles, and looking for them among the words takes a quarter of the time
         own = Codec(path, pattern, batch_words, known_bytes)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             rows = []
-            for ids in own.encode(texts):
+            for ids in own.encode(batch.column(1)):
                 listed = ",".join(map(own.names.__getitem__, ids))
                 raw = own.decode(ids)
                 rows.append((len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(raw).hexdigest(), ids if keep_ids else None))

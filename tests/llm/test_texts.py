@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from countypanel.llm import byte_bpe, decontaminate, html_text, licenses, simhash_dedup, token_counts
@@ -85,9 +86,9 @@ def test_what_is_remembered_is_bounded():
     rng = random.Random(6)
     own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 2000, 300_000)
     texts = [" ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(800)) + " the same words" for _ in range(20)]
-    assert [own.decode(i) for i in own.encode(texts * 2)] == [t.encode() for t in texts * 2]
+    assert [own.decode(i) for i in own.encode(pa.array(texts * 2))] == [t.encode() for t in texts * 2]
     for t in texts:
-        assert [own.decode(i) for i in own.encode([t])] == [t.encode()]
+        assert [own.decode(i) for i in own.encode(pa.array([t]))] == [t.encode()]
         assert own.held <= 300_000 + 800 * 400
     assert len(own.known) + len(own.older) < 6000  # of 16,000 words
 

@@ -36,9 +36,9 @@ from countypanel.llm.common import table, text_of, tidy
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SQL_BYTES = 200
 #: Rows of all rounds of a query, each of some 24 bytes; grouping and joining them takes several times as much, within DuckDB's limit.
-BATCH_ROWS = 500_000
+BATCH_ROWS = 1_000_000
 #: Characters of texts whose pieces are looked up at a time.
-TEXT_CHARS = 1_000_000
+TEXT_CHARS = 2_000_000
 #: What a remembered word takes besides its characters and ids: two objects and its share of a table that is up to two thirds empty.
 ENTRY_BYTES = 49 + 33 + 160
 
@@ -111,7 +111,7 @@ class Codec:
                 left, right = self.ranks.get(b[:cut]), self.ranks.get(b[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = i
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "96MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "128MB", "temp_directory": ""})
         merges = pa.table({"pair": pa.array(pairs.keys(), pa.int64()), "merged": pa.array(pairs.values(), pa.int32())})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
 
@@ -148,30 +148,42 @@ class Codec:
             fresh -= again
             for x in again:
                 self._keep(x, older[x])
-        whole, found, words = {}, {}, set()
+        found, batch, held = {}, [], 0
+        ranks, single, split = self.ranks, self.single, self.split
+
+        def word(w: str) -> int:
+            """Keeps w if it is one token or long, else puts it into the batch; what it takes."""
+            b = w.encode()
+            if (token := ranks.get(b)) is not None:
+                known[w] = single[token]
+            elif len(b) > SQL_BYTES:
+                known[w] = np.array(self.by_heap(b), self.packed).tobytes()
+            else:
+                batch.append((w, b))
+                return ENTRY_BYTES + 2 * len(b)
+            return ENTRY_BYTES + len(w) + len(known[w])
+
+        plain: set[str] = set()
+        parts: set[str] = set()
         for x in fresh:
             if x[1:].isalpha() and x[0] == " ":  # one word for sure
-                words.add(x)
+                held += word(x)
+                plain.add(x)
             else:
-                found[x] = self.split(x)
-                words.update(found[x])
-        batch = []
-        for w in words:
-            if (ids := known.get(w) or older.get(w)) is None:
-                b = w.encode()
-                if (token := self.ranks.get(b)) is not None:
-                    ids = self.single[token]
-                elif len(b) > SQL_BYTES:
-                    ids = np.array(self.by_heap(b), self.packed).tobytes()
-                else:
-                    batch.append((w, b))
-                    continue
-            whole[w] = ids
+                found[x] = words = split(x)
+                parts.update(words)
+        for w in parts.difference(known, plain):
+            if (ids := older.get(w)) is None:
+                held += word(w)
+            else:
+                self._keep(w, ids)
         for part in self.batches(batch):
             for (w, _), ids in zip(part, self._merge([b for _, b in part]), strict=True):
-                whole[w] = ids
-        for x in fresh:
-            self._keep(x, b"".join([whole[w] for w in found[x]]) if x in found else whole[x])
+                known[w] = ids
+        self.held += held
+        for x, words in found.items():
+            if len(words) > 1:
+                self._keep(x, b"".join([known[w] for w in words]))
 
     def _keep(self, piece: str, ids: bytes) -> None:
         self.known[piece] = ids
@@ -248,7 +260,7 @@ _LOOSE = re.compile(f" [{_SPACES}]|[{_SPACES}] |^ | $")
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, batch_words: int = 6_000, known_bytes: int = 28_000_000
+    docs: DataFrame, path: str, pattern: str, *, keep_ids: bool = False, batch_words: int = 12_000, known_bytes: int = 36_000_000
 ) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; with keep_ids also ids, array of int.
 

@@ -11,7 +11,8 @@ shorter). A document is contaminated by an item if one of its windows of that si
 Three steps, DataFrame operations only:
 
 1. A window without any shingle of an item of its size has similarity zero, so only windows around a shared shingle are
-   fingerprinted. Shingles meet by an equi-join on their 64-bit hash.
+   fingerprinted. Shingles meet by an equi-join on their 64-bit hash; a running sum along neighbouring windows
+   gives their fingerprints, so work and rows grow with the text, not with the text times the item.
 2. Fingerprints are cut into 8 blocks of 8 bits. Within `radius` bits, some block differs in at most `radius // 8`
    bits, so each item is listed under every block value that near, and windows join on size, block and
    value: all fingerprints within the radius are found.
@@ -22,14 +23,15 @@ A radius of 20 of 64 bits lies over three standard deviations above the distance
 The item side is broadcast only after it has been counted; beyond that bound the joins are shuffled.
 
 Defined results: null and empty texts contain nothing and contaminate nothing. Documents or items without an id take no
-part. Repeated rows count as one. Of equally similar windows the first is reported. Other columns are ignored.
+part. Repeated rows count as one. Very repetitive texts of any length cost what others do: windows of the same shingles are
+verified once. Of equally similar windows the first is reported. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from countypanel.llm.common import small, stored, table, text_of
@@ -69,19 +71,65 @@ def shingle_texts(words: Column, k: int) -> Column:
     return F.slice(every, F.lit(1), count)
 
 
-def fingerprints(shingles: DataFrame, keys: list[str], hashed: str) -> DataFrame:
-    """keys and fp for rows of one shingle each: the bits set in over half the hashes.
+def _counters(hashed: Column) -> list[Column]:
+    """The bits of a hash as 32 pairs of counters of 32 bits, of bit i and bit i + 32, to be summed."""
+    return [F.shiftrightunsigned(hashed, i).bitwiseAND(F.lit((1 << 32) + 1)) for i in range(32)]
 
-    A running sum holds two counters of 32 bits, of bit i and bit i + 32.
-    """
-    sums = [F.sum(F.shiftrightunsigned(F.col(hashed), i).bitwiseAND(F.lit((1 << 32) + 1))).alias(f"s{i}") for i in range(32)]
-    counted = shingles.groupBy(*keys).agg(F.count("*").alias("size"), *sums)
+
+def _print_of(size: Column, sums: list[Column]) -> Column:
+    """The bits set in over half of `size` hashes, from the sums of their counters."""
     # The sign of size - 2 * ones says whether a bit is set.
     fp = F.lit(0).cast("bigint")
-    for i in range(32):
-        for bit, ones in ((i, F.col(f"s{i}").bitwiseAND(F.lit((1 << 32) - 1))), (i + 32, F.shiftrightunsigned(F.col(f"s{i}"), 32))):
-            fp = fp.bitwiseOR(F.shiftleft(F.shiftrightunsigned(F.col("size") - ones * 2, 63), bit))
-    return counted.select(*keys, fp.alias("fp"))
+    for i, s in enumerate(sums):
+        for bit, ones in ((i, s.bitwiseAND(F.lit((1 << 32) - 1))), (i + 32, F.shiftrightunsigned(s, 32))):
+            fp = fp.bitwiseOR(F.shiftleft(F.shiftrightunsigned(size - ones * 2, 63), bit))
+    return fp
+
+
+def fingerprints(shingles: DataFrame, keys: list[str], hashed: str) -> DataFrame:
+    """keys and fp for rows of one shingle each."""
+    sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(_counters(F.col(hashed)))]
+    counted = shingles.groupBy(*keys).agg(F.count("*").alias("size"), *sums)
+    return counted.select(*keys, _print_of(F.col("size"), [F.col(f"s{i}") for i in range(32)]).alias("fp"))
+
+
+def runs(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, n, first and last of the hits (keys, n, pos) whose windows of n shingles follow each other without a gap."""
+    along = Window.partitionBy(*keys, "n").orderBy("pos")
+    new = F.coalesce(F.col("pos") - F.lag("pos").over(along) > F.col("n"), F.lit(True))
+    numbered = hits.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(along))
+    return numbered.groupBy(*keys, "n", "run").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).drop("run")
+
+
+def window_fingerprints(found: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, n, start and fp of the windows of n shingles that hold one of the hits of a run: found has keys, n, first, last, hashes.
+
+    A running sum along a run takes in the counters of a hash and gives back those of the hash n places before, so a
+    window costs one row however many shingles it has. Windows of a text with the same shingles as often are one: the first.
+    """
+    size = F.size("hashes")
+    ranged = found.withColumn("width", F.least("n", size)).withColumn("a", F.greatest(F.lit(0), F.col("first") - F.col("n") + 1)).withColumn(
+        "b", F.greatest(F.lit(0), F.least("last", size - F.col("n"))))
+    steps = ranged.select(*keys, "n", "a", "width", "hashes", F.explode(F.sequence("a", F.col("b") + F.col("width") - 1)).alias("pos")).select(
+        *keys, "n", "a", "width", "pos", F.get("hashes", F.col("pos")).alias("hash"),
+        F.when(F.col("pos") - F.col("width") >= F.col("a"), F.get("hashes", F.col("pos") - F.col("width"))).alias("gone"))
+    along = Window.partitionBy(*keys, "n", "a").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def rolled(of: list[Column], gone: list[Column]) -> list[Column]:
+        return [F.sum(x - F.coalesce(y, F.lit(0))).over(along) for x, y in zip(of, gone, strict=True)]
+
+    # Sums of 39 bits of two other hashes tell multisets of shingles apart; they don't overflow below 16 million shingles.
+    def marks(column: str) -> list[Column]:
+        return [F.shiftrightunsigned(F.xxhash64(F.col(column), F.lit(salt)), 25) for salt in (1, 2)]
+
+    sums = rolled(_counters(F.col("hash")), _counters(F.col("gone")))
+    seen = [F.when(F.col("gone").isNotNull(), x) for x in marks("gone")]
+    summed = steps.select(*keys, "n", "width", "a", "pos", *[x.alias(f"s{i}") for i, x in enumerate(sums)],
+                          *[x.alias(f"mark{i}") for i, x in enumerate(rolled(marks("hash"), seen))])
+    whole = summed.where(F.col("pos") - F.col("a") + 1 >= F.col("width")).select(
+        *keys, "n", "mark0", "mark1", (F.col("pos") - F.col("width") + 1).alias("start"),
+        _print_of(F.col("width"), [F.col(f"s{i}") for i in range(32)]).alias("fp"))
+    return whole.groupBy(*keys, "n", "fp", "mark0", "mark1").agg(F.min("start").alias("start")).drop("mark0", "mark1")
 
 
 def _blocks(rows: DataFrame, near: int) -> DataFrame:
@@ -147,26 +195,18 @@ def _contamination(docs: DataFrame, benchmark: DataFrame, radius: int, threshold
     shingled = named.select("doc_id", F.xxhash64("text").alias("text_key"), words_of(F.col("text")).alias("words")).select(
         *of_doc, F.posexplode(shingle_hashes(words, k)).alias("pos", "hash")
     )
-    hits = stored(
-        shingled.join(small(sizes, broadcast_rows), "hash").groupBy(*of_doc, "n").agg(F.collect_set("pos").alias("at")), "hits"
-    )
+    hits = stored(shingled.join(small(sizes, broadcast_rows), "hash").select(*of_doc, "n", "pos").distinct(), "hits")
     touched = hits.select(*of_doc).distinct()
     split = words_of(F.col("text"))
     # The words of the documents that share one, which is a small part of all unless most are contaminated.
     near = stored(
         named.withColumn("text_key", F.xxhash64("text")).join(small(touched, broadcast_rows), of_doc, "left_semi")
-        .distinct().select(*of_doc, split.alias("words")), "touched",
+        .distinct().select(*of_doc, split.alias("words")).select(*of_doc, "words", shingle_hashes(words, k).alias("hashes")), "touched",
     )
 
     # Step 2: fingerprints of the windows around those places, and the items within the radius.
-    m = shingle_count(words, k)
-    starts = F.array_distinct(F.flatten(F.transform(
-        "at", lambda p: F.sequence(F.greatest(F.lit(0), p - F.col("n") + 1), F.greatest(F.lit(0), F.least(p, m - F.col("n"))))
-    )))
-    windows = near.join(hits, of_doc).select(
-        *of_doc, "n", shingle_hashes(words, k).alias("hashes"), F.explode(starts).alias("start")
-    ).select(*of_doc, "n", "start", F.explode(F.slice("hashes", F.col("start") + 1, F.col("n"))).alias("hash"))
-    printed = _blocks(fingerprints(windows, [*of_doc, "n", "start"], "hash"), 0)
+    around = near.select(*of_doc, "hashes").join(runs(hits, of_doc), of_doc)
+    printed = _blocks(window_fingerprints(around, of_doc), 0)
     bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     candidates = (
         printed.join(small(probes, broadcast_rows), ["n", "block", "value"])
@@ -177,7 +217,7 @@ def _contamination(docs: DataFrame, benchmark: DataFrame, radius: int, threshold
     # Step 3: the words themselves decide.
     window = F.slice("words", F.col("start") + 1, F.col("n") + (k - 1))
     shown = (
-        candidates.join(near, of_doc).withColumn("words", window).withColumn("window_shingles", shingle_texts(words, k))
+        candidates.join(near.select(*of_doc, "words"), of_doc).withColumn("words", window).withColumn("window_shingles", shingle_texts(words, k))
         .join(small(items.select("item_id", "item_key", "item_shingles"), broadcast_rows // 100), ["item_id", "item_key"])
         .withColumn("similarity", similarity(F.col("window_shingles"), F.col("item_shingles")))
         .where(F.col("similarity") >= threshold)

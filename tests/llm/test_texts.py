@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -213,6 +214,37 @@ def test_contamination_is_that_of_brute_force(spark, documents):
     assert decontaminate.contamination(docs, bench.limit(0)).count() == decontaminate.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_windows_of_repetitive_texts_have_their_fingerprints(spark):
+    """Every window around a hit, up to windows of equal shingles, against fingerprints taken one by one."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    texts = {1: [7] * 50, 2: [1, 2, 3] * 20, 3: [rng.randrange(3) for _ in range(80)], 4: [5, 6], 5: list(range(90))}
+    signed = {x: rng.getrandbits(64) - (1 << 63) for x in range(90)}
+    hits = [(d, n, p) for d, t in texts.items() for n in (1, 4, 25) for p in range(len(t)) if rng.random() < 0.1 or p == 0]
+    found = decontaminate.runs(spark.createDataFrame(hits, "doc bigint, n int, pos int"), ["doc"]).join(
+        spark.createDataFrame([(d, [signed[x] for x in t]) for d, t in texts.items()], "doc bigint, hashes array<bigint>"), "doc")
+    rows = decontaminate.window_fingerprints(found, ["doc"]).withColumn("fp", F.col("fp").cast("bigint")).collect()
+    want = {}
+    for d, n, p in sorted(hits):
+        hashes = [signed[x] for x in texts[d]]
+        for s in range(max(0, p - n + 1), max(0, min(p, len(hashes) - n)) + 1):
+            window = hashes[s : s + n]
+            fp = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in window) > len(window))
+            key = (d, n, tuple(sorted(window)))
+            want[key] = min(want.get(key, (s, fp)), (s, fp))
+    assert sorted((r.doc, r.n, r.start, r.fp % (1 << 64)) for r in rows) == sorted((d, n, s, fp) for (d, n, _), (s, fp) in want.items())
+    assert sum(n == 25 and d == 1 for d, n, _ in want) == 1
+
+
+def test_a_very_repetitive_text_is_searched_in_proportion_to_its_length(spark, documents):
+    docs = documents([(1, "same " * 20_000), (2, "one two three four " * 5_000), (3, "same " * 900), (4, "same " * 700)])
+    bench = spark.createDataFrame([(1, "same " * 1_000), (2, "one two three four " * 250)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.window_start) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got.pop((3, 1)) == (pytest.approx(896 / 996), 0)
+    assert got == {(1, 1): (1, 0), (2, 2): (1, 0)}
+
+
 def test_short_items_are_found_within_longer_texts(spark, documents):
     bench = spark.createDataFrame([(1, "Short text"), (2, "four words of it"), (3, ITEM), (3, "Gone"), (4, "Gone")], "item_id bigint, text string")
     docs = documents([(1, f"before a SHORT, text {ITEM}"), (2, "text short"), (3, "Now four words of it."), (4, "short"), (5, "it is gone"), (6, f"gone {ITEM}"), (None, "gone")])

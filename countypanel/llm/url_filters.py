@@ -7,11 +7,14 @@ far as they were on a list when it was fetched. The longest such pattern decides
 
 DataFrame operations only. Dates are cut into buckets, so that neither a pattern with very many entries nor a host with
 very many captures meets in one task: intervals are closed inside a bucket and, from a table of one row per pattern and
-bucket, across buckets; the as-of join is an equi-join on pattern and bucket with a check of the times.
+bucket, across buckets; the as-of join is an equi-join on pattern and time slot with a check of the times. Slots have
+levels, each twice as wide as the one below. An interval is listed in the slots of one level, at most 2 ** (SLOT_BITS + 1) + 1
+however long it is, and a capture is looked up once per level, so neither grows with the time span by more than its logarithm.
 
 Defined results: captures without url or time match nothing and get the verdict `none`, as do those that no list names.
 Entries with a null in any column that matters take no part. Repeated entries count once; repeated captures come back
-as often as they went in. Other columns are ignored.
+as often as they went in. Far-off times cost another level or two. Of a very long url or host only the parts that some
+entry is long enough to name are looked up, which loses nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 from countypanel.llm.common import table
 
 BUCKET_SECONDS = 6 * 3600
+#: An interval of 2 ** SLOT_BITS buckets or more lies in at least that many slots, which spreads a hot pattern.
+SLOT_BITS = 3
 
 _HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 _PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)"
@@ -35,12 +40,18 @@ def path_parts(url: Column) -> Column:
     return F.array_remove(F.split(F.regexp_extract(url, _PATH, 1), "/"), "")
 
 
-def with_patterns(urls: DataFrame) -> DataFrame:
-    """urls once for each pattern that could list its url: the host, the domains above it, the host with 1, 2, ... parts of the path."""
+def with_patterns(urls: DataFrame, max_labels: int, max_parts: int) -> DataFrame:
+    """urls once for each pattern that could list its url: the host, the domains above it, the host with 1, 2, ... parts of the path.
+
+    Patterns of more labels or parts than the bounds, which no entry has, are left out.
+    """
     host, parts, labels = F.col("_host"), F.col("_parts"), F.col("_labels")
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    count = F.size(parts)
-    deeper = F.transform(F.slice(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), F.lit(1), count),
+    count = F.size(labels)
+    lower = F.greatest(count - max_labels + 1, F.lit(1))
+    domains = F.when(F.lit(max_labels > 0), F.transform(
+        F.sequence(lower, count), lambda i: F.array_join(F.slice(labels, i, count), "."))).otherwise(F.array().cast("array<string>"))
+    depth = F.least(F.size(parts), F.lit(max_parts))
+    deeper = F.transform(F.slice(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), F.lit(1), depth),
                          lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/")))
     cut = urls.withColumn("_host", host_of(F.col("url"))).withColumn("_parts", path_parts(F.col("url")))
     cut = cut.where("_host <> ''").withColumn("_labels", F.split("_host", r"\."))
@@ -51,6 +62,11 @@ def _bucket(time: str, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(F.col(time).cast("timestamp")) / seconds).cast("bigint")
 
 
+def _slot(bucket: str) -> Column:
+    """The slot of a bucket on the row's level."""
+    return F.call_function("shiftright", F.col(bucket), F.col("level"))
+
+
 def intervals(entries: DataFrame, seconds: int = BUCKET_SECONDS) -> DataFrame:
     """list_name, verdict, pattern, valid_from, valid_to (null: still valid) of every stretch in which a list holds a pattern."""
     key = ["list_name", "verdict", "pattern"]
@@ -70,14 +86,21 @@ def evaluate(captures: DataFrame, entries: DataFrame, seconds: int = BUCKET_SECO
     """captures (page_id, url, fetched_at) with verdict, pattern and list_name."""
     bucket = _bucket("fetched_at", seconds)
     begin, end = captures.agg(F.min(bucket), F.max(bucket)).first()  # two numbers
-    held = intervals(entries, seconds)
-    first = F.greatest(_bucket("valid_from", seconds), F.lit(begin).cast("bigint"))
-    last = F.least(_bucket("valid_to", seconds), F.lit(end).cast("bigint"))  # skips a null end of validity
-    listed = held.where(first <= last).withColumn("bucket", F.explode(F.sequence(first, last))) if begin is not None else (
-        held.limit(0).withColumn("bucket", F.lit(0).cast("bigint")))
+    if begin is None:
+        begin, end = 0, -1
+    host, path = F.substring_index("pattern", "/", 1), F.col("pattern")
+    labels, parts = entries.agg(F.max(F.size(F.split(host, r"\."))), F.max(F.size(F.split(path, "/")) - 1)).first()  # two more
+    top = max(0, (end - begin + 1).bit_length() - 1 - SLOT_BITS)
+    first = F.greatest(_bucket("valid_from", seconds), F.lit(begin).cast("bigint")) - begin
+    last = F.least(_bucket("valid_to", seconds), F.lit(end).cast("bigint")) - begin  # skips a null end of validity
+    held = intervals(entries, seconds).withColumn("first", first).withColumn("last", last).where("first <= last")
+    width = F.length(F.bin(F.col("last") - F.col("first") + 1)) - 1
+    listed = held.withColumn("level", F.greatest(width - SLOT_BITS, F.lit(0))).withColumn(
+        "slot", F.explode(F.sequence(_slot("first"), _slot("last")))).drop("first", "last")
     asked = captures.where("url IS NOT NULL AND fetched_at IS NOT NULL").select("url", "fetched_at").distinct()
-    keyed = with_patterns(asked).withColumn("bucket", bucket)
-    active = keyed.join(listed, ["pattern", "bucket"]).where(
+    keyed = with_patterns(asked, labels or 0, parts or 0).withColumn("at", bucket - begin).withColumn(
+        "level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumn("slot", _slot("at")).drop("at")
+    active = keyed.join(listed, ["pattern", "level", "slot"]).where(
         (F.col("valid_from") <= F.col("fetched_at")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
     )
     best = F.max(F.struct(F.length("pattern").alias("size"), (F.col("verdict") == "block").alias("blocks"), "verdict", "pattern", "list_name"))

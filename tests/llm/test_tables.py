@@ -69,6 +69,34 @@ def test_url_filters_follow_the_entries_of_the_moment(spark):
     assert url_filters.evaluate(captures.limit(0), entries).count() == 0
 
 
+def test_url_filters_over_any_span_of_time(spark):
+    """Against brute force: intervals of every length, a capture centuries off, very long urls and hosts."""
+    rng = random.Random(11)
+    patterns = ["a.example", "b.a.example", "b.a.example/x", "b.a.example/x/y", "example"]
+    urls = ["http://a.example/x", "http://b.a.example/x/y/z", "http://b.a.example/" + "x/" * 20_000, "http://" + "b." * 5_000 + "a.example/", "http://c.test/"]
+    spans = [1, 24, 24 * 40, 24 * 400]
+    entries = [("l" + str(rng.randrange(2)), rng.choice(["block", "allow"]), rng.choice(patterns), rng.choice(["add", "remove"]),
+                T + rng.randrange(rng.choice(spans)) * HOUR) for _ in range(60)]
+    asked = [(i, rng.choice(urls), T + rng.randrange(rng.choice(spans)) * HOUR) for i in range(80)]
+    asked += [(90, urls[0], dt.datetime(2324, 1, 1)), (91, urls[1], dt.datetime(1824, 1, 1))]
+    want = {}
+    for page, url, at in asked:
+        host, path = url[7:].split("/", 1)
+        parts = [p for p in path.split("/") if p]
+        labels = host.split(".")
+        own = {".".join(labels[i:]) for i in range(len(labels) - 3, len(labels)) if i >= 0} | {host} | {"/".join([host, *parts[:n]]) for n in (1, 2, 3) if n <= len(parts)}
+        active = set()
+        for name, verdict, pattern in {e[:3] for e in entries}:
+            before = [(e[4], e[3] == "remove") for e in entries if e[:3] == (name, verdict, pattern) and e[4] <= at]
+            if pattern in own and before and not max(before)[1]:
+                active.add((len(pattern), verdict == "block", verdict, pattern, name))
+        want[page] = max(active)[2:] if active else ("none", None, None)
+    got = url_filters.evaluate(spark.createDataFrame(asked, "page_id bigint, url string, fetched_at timestamp_ntz"), spark.createDataFrame(
+        entries, "list_name string, verdict string, pattern string, action string, dated timestamp_ntz"), 3600)
+    assert {r.page_id: (r.verdict, r.pattern, r.list_name) for r in got.collect()} == want
+    assert {v for v, _, _ in want.values()} == {"none", "block", "allow"}
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 

@@ -1,22 +1,28 @@
 """Quality classifier (operator 10): attention-based multiple-instance learning over passages.
 
-A document is a bag of passages of PASSAGE words, covering the whole text. Every passage is encoded: shape measures
+A document is a bag of passages of PASSAGE words, covering the whole text. Every passage is encoded: its words, pairs of
+neighbouring words and runs of three characters, hashed with signs into HASHED numbers of unit length, and shape measures
 (characters by class, repeated words, word lengths) go through a learned layer into a vector h. A gated attention
 weighs passages, a = softmax(w . (tanh(V h) * sigmoid(U h))), and the document's score is the logistic of the weighted
-sum of its passages' vectors. All weights are learned together from labels of whole documents, in numpy on a
-bounded sample of labelled rows; scoring runs in parallel over all texts.
+sum of its passages' vectors. All weights of a network are learned together from labels of whole documents. A bounded sample of labelled
+rows is dealt by hash into SHARDS parts; Spark trains a network on each in a task of its own, only weights reach the
+driver, and a score is the mean of the networks' scores. Scoring runs in parallel over all texts.
 
 Defined results: a null text counts as empty; an empty text has one empty passage and so a score. Without training rows of
-both labels every score is the share of label 1 among them (0.5 without any). Rows without doc_id are scored and count
+both labels every score is the share of label 1 among them (0.5 without any); a shard without them gives its own share. Rows without doc_id are scored and count
 as not held out. Repeated rows are scored each. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +34,10 @@ PASSAGE = 64
 TRAINING_ROWS = 4_000
 THRESHOLD = 0.3
 
+SHARDS = 4
+HASHED = 64
+#: Words whose hashed numbers a worker remembers, and passages that it encodes at a time.
+KNOWN_WORDS, AT_ONCE = 40_000, 1_024
 HIDDEN, GATE = 16, 8
 _SYMBOLS = "%&$#*@^~<>{}[]\\_=+"
 
@@ -62,44 +72,118 @@ def _classes() -> bytes:
 
 _CLASS = _classes()
 _KINDS = [bytes([c]) for c in b"Uldwscybxqh"]
-FEATURES = len(_KINDS) + 6
-
-
-def passages(text: str) -> list[list[float]]:
+SHAPES = len(_KINDS) + 6
+FEATURES = SHAPES + HASHED
+
+
+def _place(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Column and sign of hashes of 32 bits."""
+    mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(40)).astype(np.int64) % HASHED, 1.0 - 2.0 * (mixed >> np.uint64(63)).astype(np.float64)
+
+
+class Words:
+    """The hashed numbers of words, remembered up to a bound."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+        self.codes: list[int] = []
+        self.rows: list[np.ndarray] = []
+
+    def _learn(self, word: str) -> int:
+        raw = b"<" + word.encode() + b">"
+        code = crc32(raw)
+        column, sign = _place(np.array([code, *(crc32(raw[i : i + 3]) for i in range(len(raw) - 2))], np.uint32))
+        self.known[word] = at = len(self.codes)
+        self.codes.append(code)
+        self.rows.append(np.bincount(column, sign, HASHED).astype(np.float32))
+        return at
+
+    def encode(self, parts: list[list[str]]) -> np.ndarray:
+        """One row of unit length for every passage, a list of words; zeros for one without words."""
+        if len(self.known) > KNOWN_WORDS:
+            self.__init__()
+        known, learn = self.known, self._learn
+        of = np.array([known[w] if w in known else learn(w) for w in chain.from_iterable(parts)], np.int64)
+        lengths = np.array(list(map(len, parts)), np.int64)
+        passage = np.repeat(np.arange(len(parts)), lengths)
+        out = np.zeros((len(parts), HASHED))
+        if len(of):
+            # Words of these passages alone, so that the table is not built from all that is remembered.
+            used, of_used = np.unique(of, return_inverse=True)
+            table = np.stack([self.rows[i] for i in used.tolist()])
+            codes = np.array([self.codes[i] for i in used.tolist()], np.uint32)[of_used]
+            some = np.flatnonzero(lengths)
+            out[some] = np.add.reduceat(table[of_used], (np.cumsum(lengths) - lengths)[some])
+            inside = passage[1:] == passage[:-1]
+            column, sign = _place((codes[:-1] * np.uint32(0x85EBCA6B) ^ codes[1:])[inside])
+            out += np.bincount(passage[1:][inside] * HASHED + column, sign, out.size).reshape(out.shape)
+        return out / np.maximum(np.sqrt((out**2).sum(1, keepdims=True)), 1e-9)
+
+
+_WORDS = Words()
+
+
+def _shape(part: list[str]) -> list[float]:
+    raw = " ".join(part).encode()
+    kinds = raw.translate(_CLASS)
+    size, n = len(raw) or 1, len(part) or 1
+    lengths = [len(w) for w in part] or [0]
+    same = sum(map(str.__eq__, part, part[1:]))
+    return [
+        *[kinds.count(k) / size for k in _KINDS],
+        len(set(part)) / n, same / n, sum(map(str.isupper, part)) / n, min(sum(lengths) / n, 40) / 10,
+        min(max(lengths), 80) / 20, len(part) / PASSAGE,
+    ]
+
+
+def bags(texts: list[str]) -> list[np.ndarray]:
+    """The measures of every passage of each text, a row each."""
+    parts, ends = [], []
+    for text in texts:
+        words = text.split()
+        parts.extend(words[at : at + PASSAGE] for at in range(0, max(1, len(words)), PASSAGE))
+        ends.append(len(parts))
+    measured = np.empty((len(parts), FEATURES), np.float32)
+    for at in range(0, len(parts), AT_ONCE):
+        some = parts[at : at + AT_ONCE]
+        measured[at : at + AT_ONCE, :SHAPES] = [_shape(p) for p in some]
+        measured[at : at + AT_ONCE, SHAPES:] = _WORDS.encode(some)
+    return np.split(measured, ends[:-1]) if texts else []
+
+
+def passages(text: str) -> np.ndarray:
     """The measures of every passage of text."""
-    words = text.split()
-    out = []
-    for at in range(0, max(1, len(words)), PASSAGE):
-        part = words[at : at + PASSAGE]
-        raw = " ".join(part).encode()
-        kinds = raw.translate(_CLASS)
-        size, n = len(raw) or 1, len(part) or 1
-        lengths = [len(w) for w in part] or [0]
-        same = sum(map(str.__eq__, part, part[1:]))
-        out.append([
-            *[kinds.count(k) / size for k in _KINDS],
-            len(set(part)) / n, same / n, sum(map(str.isupper, part)) / n, min(sum(lengths) / n, 40) / 10,
-            min(max(lengths), 80) / 20, len(part) / PASSAGE,
-        ])
-    return out
+    return bags([text])[0]
 
 
 @dataclass
-class Model:
+class Network:
     mean: np.ndarray
     scale: np.ndarray
     weights: dict[str, np.ndarray]
     constant: float | None = None
 
-    def score(self, bags: list[list[list[float]]]) -> np.ndarray:
-        if self.constant is not None:
+    def score(self, bags: list[np.ndarray]) -> np.ndarray:
+        if self.constant is not None or not bags:
             return np.full(len(bags), self.constant)
         return _forward(self.weights, *_flat(bags, self.mean, self.scale))["p"]
 
 
-def _flat(bags: list[list[list[float]]], mean: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@dataclass
+class Model:
+    networks: list[Network]
+    constant: float | None = None
+
+    def score(self, bags: list[np.ndarray]) -> np.ndarray:
+        if self.constant is not None:
+            return np.full(len(bags), self.constant)
+        return np.mean([n.score(bags) for n in self.networks], axis=0)
+
+
+def _flat(bags: list[np.ndarray], mean: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lengths = np.array([len(b) for b in bags], np.int64)
-    x = (np.array([p for b in bags for p in b], np.float64).reshape(-1, FEATURES) - mean) / scale
+    x = (np.concatenate([np.asarray(b, np.float64).reshape(-1, FEATURES) for b in bags]) - mean) / scale
     return np.clip(x, -8, 8), np.repeat(np.arange(len(bags)), lengths), np.cumsum(lengths) - lengths
 
 
@@ -117,14 +201,14 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, bag: np.ndarray, first: np
     return {"h": h, "t": t, "g": g, "a": a, "z": z, "p": _sigmoid(z @ w["c"] + w["b"])}
 
 
-def train(bags: list[list[list[float]]], labels: list[int], *, rounds: int = 200, rate: float = 0.02, decay: float = 1e-4) -> Model:
+def train(bags: list[np.ndarray], labels: list[int], *, rounds: int = 200, rate: float = 0.02, decay: float = 1e-3) -> Network:
     """Full-batch Adam on the mean log loss of the documents."""
     share = float(np.mean(labels)) if labels else 0.5
     none = np.zeros(FEATURES)
     if len(set(labels)) < 2:
-        return Model(none, none + 1, {}, share)
-    every = np.array([p for b in bags for p in b], np.float64)
-    model = Model(every.mean(0), np.maximum(every.std(0), 1e-3), {})
+        return Network(none, none + 1, {}, share)
+    every = np.concatenate([np.asarray(b, np.float64).reshape(-1, FEATURES) for b in bags])
+    model = Network(every.mean(0), np.maximum(every.std(0), 1e-3), {})
     x, bag, first = _flat(bags, model.mean, model.scale)
     y = np.array(labels, np.float64)
     rng = np.random.default_rng(7)
@@ -157,17 +241,27 @@ def _measured(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = [[v for p in passages(t) for v in p] for t in batch.column(1).to_pylist()]
+            flat = [passages(t).ravel() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(flat, pa.list_(pa.float32()))], ["doc_id", "label", "x"])
 
     return rows.select("doc_id", "text", "label").mapInArrow(tidy(run), "doc_id bigint, label int, x array<float>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = TRAINING_ROWS, label: str = "quality") -> Model:
-    """A model from at most max_rows labelled rows of docs, none of them held out."""
-    rows = sorted(_measured(training_rows(docs, labels, label, max_rows).withColumn("doc_id", F.col("doc_id").cast("bigint"))).collect())
-    bags = [np.array(r.x, np.float64).reshape(-1, FEATURES).tolist() for r in rows]
-    return train(bags, [r.label for r in rows])
+def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = TRAINING_ROWS, label: str = "quality", shards: int = SHARDS) -> Model:
+    """A model from at most max_rows labelled rows of docs, none of them held out, by one network for each of `shards` parts."""
+
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("doc_id")
+        network = train([np.asarray(x).reshape(-1, FEATURES) for x in rows["x"]], rows["label"].tolist())
+        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "size": [len(rows)], "ones": [int(rows["label"].sum())], "network": [pickle.dumps(network)]})
+
+    sample = _measured(training_rows(docs, labels, label, max_rows).withColumn("doc_id", F.col("doc_id").cast("bigint")))
+    dealt = sample.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    found = sorted(dealt.groupBy("shard").applyInPandas(learn, "shard bigint, size bigint, ones bigint, network binary").collect())  # a row each
+    size, ones = sum(r["size"] for r in found), sum(r.ones for r in found)
+    if ones in (0, size):
+        return Model([], ones / size if size else 0.5)
+    return Model([pickle.loads(r.network) for r in found])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -178,7 +272,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             texts = batch.column(1).to_pylist()
             scores: list[float] = []
             for at in range(0, len(texts), 256):
-                scores.extend(model.score([passages(t) for t in texts[at : at + 256]]).tolist())
+                scores.extend(model.score(bags(texts[at : at + 256])).tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(tidy(run), "doc_id bigint, score double")
@@ -192,7 +286,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             for i in range(0, len(texts), 256):
-                good = model.score([passages(t) for t in texts[i : i + 256]]) >= threshold
+                good = model.score(bags(texts[i : i + 256])) >= threshold
                 yield batch.slice(i, 256).filter(pa.array(good))
 
     return docs.mapInArrow(tidy(run), docs.schema)

@@ -81,6 +81,37 @@ def test_a_passage_counts_wherever_it_stands():
     assert np.ptp(model.score(bags)) < 1e-6
 
 
+def test_passages_tell_words_and_their_order_apart():
+    a, b, c = (quality.passages(t)[0, quality.SHAPES :] for t in ("red green blue grey", "grey blue green red", "one four nine sixteen"))
+    assert 1 > a @ b > a @ c and all(abs(x @ x - 1) < 1e-5 for x in (a, b, c))
+    words = [f"w{i}" for i in range(200)] * 40
+    many = quality.bags([" ".join(words[:n]) for n in (0, 1, 64, 65, 8_000)])
+    assert [len(m) for m in many] == [1, 1, 1, 2, 125] and not many[0][:, quality.SHAPES :].any()
+    quality._WORDS.__init__()
+    assert np.array_equal(quality.passages(" ".join(words)), many[4])  # whatever is remembered
+
+
+def test_scores_are_those_of_networks_trained_by_hand(labelled):
+    """Brute force: the same networks from the same shards, one document at a time."""
+    docs, labels, _ = labelled
+    model = quality.fit(docs, labels, max_rows=200, shards=2)
+    rows = training_rows(docs, labels, "quality", 200).selectExpr("doc_id", "text", "label", "pmod(xxhash64(doc_id), 2) AS shard").collect()
+    hand = []
+    for shard in (0, 1):
+        part = sorted((r.doc_id, r.text, r.label) for r in rows if r.shard == shard)
+        hand.append(quality.train([quality.passages(t) for _, t, _ in part], [y for _, _, y in part]))
+    got = {r.doc_id: r.score for r in quality.scored(docs.where("doc_id BETWEEN 1 AND 60"), model).collect()}
+    for r in docs.where("doc_id BETWEEN 1 AND 60").collect():
+        bag, total = quality.passages(r.text), 0.0
+        for net in hand:
+            x = np.clip((bag - net.mean) / net.scale, -8, 8)
+            h = np.tanh(x @ net.weights["E"] + net.weights["e"])
+            raw = (np.tanh(h @ net.weights["V"]) / (1 + np.exp(-(h @ net.weights["U"])))) @ net.weights["a"]
+            a = np.exp(raw) / np.exp(raw).sum()
+            total += 1 / (1 + np.exp(-((a @ h) @ net.weights["c"] + net.weights["b"])))
+        assert got[r.doc_id] == pytest.approx(total / 2, abs=1e-4)
+
+
 @pytest.mark.parametrize("query, label, least", [(quality.op10_quality, "quality", 0.95), (toxicity.op9_toxicity, "toxic", 0.95)])
 def test_held_out_accuracy_on_the_tables(spark, query, label, least):
     got = query(spark, SF)

@@ -1,7 +1,7 @@
 """Quality classifier (operator 10): attention-based multiple-instance learning over passages.
 
 A document is a bag of passages of PASSAGE words, covering the whole text. Every passage is encoded: its words, pairs of
-neighbouring words and runs of three characters, hashed with signs into HASHED numbers of unit length, and shape measures
+neighbouring words and runs of three bytes, hashed with signs into HASHED numbers of unit length, and shape measures
 (characters by class, repeated words, word lengths) go through a learned layer into a vector h. A gated attention
 weighs passages, a = softmax(w . (tanh(V h) * sigmoid(U h))), and the document's score is the logistic of the weighted
 sum of its passages' vectors. All weights of a network are learned together from labels of whole documents. A bounded sample of labelled
@@ -35,9 +35,10 @@ TRAINING_ROWS = 4_000
 THRESHOLD = 0.3
 
 SHARDS = 4
-HASHED = 64
-#: Words whose hashed numbers a worker remembers, and passages that it encodes at a time.
-KNOWN_WORDS, AT_ONCE = 40_000, 1_024
+#: A power of two.
+HASHED = 32
+#: Passages encoded, runs of bytes hashed and documents scored at a time. Products this small stay in one thread.
+AT_ONCE, RUNS_AT_ONCE, DOCS_AT_ONCE = 1_024, 1 << 18, 48
 HIDDEN, GATE = 16, 8
 _SYMBOLS = "%&$#*@^~<>{}[]\\_=+"
 
@@ -77,51 +78,49 @@ FEATURES = SHAPES + HASHED
 
 
 def _place(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Column and sign of hashes of 32 bits."""
+    """Column and sign of whole numbers."""
     mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(40)).astype(np.int64) % HASHED, 1.0 - 2.0 * (mixed >> np.uint64(63)).astype(np.float64)
-
-
-class Words:
-    """The hashed numbers of words, remembered up to a bound."""
-
-    def __init__(self) -> None:
-        self.known: dict[str, int] = {}
-        self.codes: list[int] = []
-        self.rows: list[np.ndarray] = []
-
-    def _learn(self, word: str) -> int:
-        raw = b"<" + word.encode() + b">"
-        code = crc32(raw)
-        column, sign = _place(np.array([code, *(crc32(raw[i : i + 3]) for i in range(len(raw) - 2))], np.uint32))
-        self.known[word] = at = len(self.codes)
-        self.codes.append(code)
-        self.rows.append(np.bincount(column, sign, HASHED).astype(np.float32))
-        return at
-
-    def encode(self, parts: list[list[str]]) -> np.ndarray:
-        """One row of unit length for every passage, a list of words; zeros for one without words."""
-        if len(self.known) > KNOWN_WORDS:
-            self.__init__()
-        known, learn = self.known, self._learn
-        of = np.array([known[w] if w in known else learn(w) for w in chain.from_iterable(parts)], np.int64)
-        lengths = np.array(list(map(len, parts)), np.int64)
+    return (mixed >> np.uint64(40)).astype(np.int64) & (HASHED - 1), 1.0 - 2.0 * (mixed >> np.uint64(63)).astype(np.float64)
+
+
+def _word_table(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A code and the hashed numbers of each of words: of itself and of its runs of three bytes, its two ends being spaces."""
+    raw = [w.encode() for w in words]
+    codes = np.array(list(map(crc32, raw)), np.uint64)
+    column, sign = _place(codes)
+    table = np.zeros((len(words), HASHED))
+    table[np.arange(len(words)), column] = sign
+    buffer = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8).astype(np.uint64)
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    for at in range(1, len(buffer) - 1, RUNS_AT_ONCE):
+        middle = np.arange(at, min(at + RUNS_AT_ONCE, len(buffer) - 1))
+        middle = middle[buffer[middle] != 32]  # words hold no space; a run belongs to the word that its middle byte is in
+        if not len(middle):
+            continue
+        column, sign = _place(buffer[middle - 1] << np.uint64(16) | buffer[middle] << np.uint64(8) | buffer[middle + 1])
+        of = np.searchsorted(ends, middle, "right")
+        low = of[0]
+        found = np.bincount((of - low) * HASHED + column, sign)
+        table.ravel()[low * HASHED : low * HASHED + len(found)] += found
+    return codes, table.astype(np.float32)
+
+
+def _hashed(parts: list[list[str]]) -> np.ndarray:
+    """One row of unit length for every passage, a list of words; zeros for one without words."""
+    index: dict[str, int] = {}
+    of = np.array([index.setdefault(w, len(index)) for w in chain.from_iterable(parts)], np.int64)
+    lengths = np.array(list(map(len, parts)), np.int64)
+    out = np.zeros((len(parts), HASHED))
+    if len(of):
+        codes, table = _word_table(list(index))
         passage = np.repeat(np.arange(len(parts)), lengths)
-        out = np.zeros((len(parts), HASHED))
-        if len(of):
-            # Words of these passages alone, so that the table is not built from all that is remembered.
-            used, of_used = np.unique(of, return_inverse=True)
-            table = np.stack([self.rows[i] for i in used.tolist()])
-            codes = np.array([self.codes[i] for i in used.tolist()], np.uint32)[of_used]
-            some = np.flatnonzero(lengths)
-            out[some] = np.add.reduceat(table[of_used], (np.cumsum(lengths) - lengths)[some])
-            inside = passage[1:] == passage[:-1]
-            column, sign = _place((codes[:-1] * np.uint32(0x85EBCA6B) ^ codes[1:])[inside])
-            out += np.bincount(passage[1:][inside] * HASHED + column, sign, out.size).reshape(out.shape)
-        return out / np.maximum(np.sqrt((out**2).sum(1, keepdims=True)), 1e-9)
-
-
-_WORDS = Words()
+        some = np.flatnonzero(lengths)
+        out[some] = np.add.reduceat(table[of], (np.cumsum(lengths) - lengths)[some])
+        inside = passage[1:] == passage[:-1]
+        codes = codes[of]
+        column, sign = _place((codes[:-1] * np.uint64(0x85EBCA6B) ^ codes[1:])[inside])
+        out += np.bincount(passage[1:][inside] * HASHED + column, sign, out.size).reshape(out.shape)
+    return out / np.maximum(np.sqrt((out**2).sum(1, keepdims=True)), 1e-9)
 
 
 def _shape(part: list[str]) -> list[float]:
@@ -148,7 +147,7 @@ def bags(texts: list[str]) -> list[np.ndarray]:
     for at in range(0, len(parts), AT_ONCE):
         some = parts[at : at + AT_ONCE]
         measured[at : at + AT_ONCE, :SHAPES] = [_shape(p) for p in some]
-        measured[at : at + AT_ONCE, SHAPES:] = _WORDS.encode(some)
+        measured[at : at + AT_ONCE, SHAPES:] = _hashed(some)
     return np.split(measured, ends[:-1]) if texts else []
 
 
@@ -271,8 +270,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             scores: list[float] = []
-            for at in range(0, len(texts), 256):
-                scores.extend(model.score(bags(texts[at : at + 256])).tolist())
+            for at in range(0, len(texts), DOCS_AT_ONCE):
+                scores.extend(model.score(bags(texts[at : at + DOCS_AT_ONCE])).tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(tidy(run), "doc_id bigint, score double")
@@ -285,9 +284,9 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
-            for i in range(0, len(texts), 256):
-                good = model.score(bags(texts[i : i + 256])) >= threshold
-                yield batch.slice(i, 256).filter(pa.array(good))
+            for i in range(0, len(texts), DOCS_AT_ONCE):
+                good = model.score(bags(texts[i : i + DOCS_AT_ONCE])) >= threshold
+                yield batch.slice(i, DOCS_AT_ONCE).filter(pa.array(good))
 
     return docs.mapInArrow(tidy(run), docs.schema)
 

@@ -1,6 +1,7 @@
 """The trained classifiers: held-out accuracy, gradients, odd rows."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -81,14 +82,28 @@ def test_a_passage_counts_wherever_it_stands():
     assert np.ptp(model.score(bags)) < 1e-6
 
 
-def test_passages_tell_words_and_their_order_apart():
+def test_passages_tell_words_and_their_order_apart(monkeypatch):
     a, b, c = (quality.passages(t)[0, quality.SHAPES :] for t in ("red green blue grey", "grey blue green red", "one four nine sixteen"))
     assert 1 > a @ b > a @ c and all(abs(x @ x - 1) < 1e-5 for x in (a, b, c))
     words = [f"w{i}" for i in range(200)] * 40
+    split = quality.passages(" ".join(words) + " ñandú 中文")
     many = quality.bags([" ".join(words[:n]) for n in (0, 1, 64, 65, 8_000)])
     assert [len(m) for m in many] == [1, 1, 1, 2, 125] and not many[0][:, quality.SHAPES :].any()
-    quality._WORDS.__init__()
-    assert np.array_equal(quality.passages(" ".join(words)), many[4])  # whatever is remembered
+    assert np.array_equal(quality.passages(" ".join(words)), many[4])  # whatever else is encoded with it
+    monkeypatch.setattr(quality, "RUNS_AT_ONCE", 7)
+    assert np.allclose(quality.passages(" ".join(words) + " ñandú 中文"), split)
+
+
+def test_hashed_words_are_those_of_brute_force():
+    words = ["a", "ñandú", "word" * 30, "it's", "中文字"]
+    codes, table = quality._word_table(words)
+    for w, code, row in zip(words, codes, table, strict=True):
+        raw = b" " + w.encode() + b" "
+        want = np.zeros(quality.HASHED)
+        for c in [int(code), *(int.from_bytes(raw[i : i + 3]) for i in range(len(raw) - 2))]:
+            mixed = c * 0x9E3779B97F4A7C15 % (1 << 64)
+            want[(mixed >> 40) % quality.HASHED] += 1 - 2 * (mixed >> 63)
+        assert np.array_equal(row, want) and code == zlib.crc32(w.encode())
 
 
 def test_scores_are_those_of_networks_trained_by_hand(labelled):

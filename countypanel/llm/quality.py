@@ -200,7 +200,7 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, bag: np.ndarray, first: np
     return {"h": h, "t": t, "g": g, "a": a, "z": z, "p": _sigmoid(z @ w["c"] + w["b"])}
 
 
-def train(bags: list[np.ndarray], labels: list[int], *, rounds: int = 200, rate: float = 0.02, decay: float = 1e-3) -> Network:
+def train(bags: list[np.ndarray], labels: list[int], *, rounds: int = 200, rate: float = 0.02, decay: float = 1e-4) -> Network:
     """Full-batch Adam on the mean log loss of the documents."""
     share = float(np.mean(labels)) if labels else 0.5
     none = np.zeros(FEATURES)

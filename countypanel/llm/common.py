@@ -51,21 +51,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """run, a task's function over batches, after which the worker gives back to the system what the task has freed.
+def give_back() -> None:
+    """Gives back to the system what a worker has freed: it lives on between tasks and would keep the memory of its largest."""
+    gc.enable()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
-    Workers live on between tasks; without this each of them keeps the memory of its largest task.
-    """
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, a task's function over batches, after which the worker gives back to the system what the task has freed."""
 
     def tidied(batches: Iterator) -> Iterator:
         try:
             yield from run(batches)
         finally:
-            gc.enable()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with suppress(OSError, AttributeError):  # not every C library can
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            give_back()
 
     return tidied
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countypanel.llm.common import held_out, table, text_of, tidy, training_rows
+from countypanel.llm.common import give_back, held_out, table, text_of, tidy, training_rows
 
 PASSAGE = 64
 #: At most so many labelled rows train the model.
@@ -38,7 +38,7 @@ SHARDS = 4
 #: A power of two.
 HASHED = 32
 #: Passages encoded, runs of bytes hashed and documents scored at a time. Products this small stay in one thread.
-AT_ONCE, RUNS_AT_ONCE, DOCS_AT_ONCE = 1_024, 1 << 18, 48
+AT_ONCE, RUNS_AT_ONCE, DOCS_AT_ONCE = 128, 1 << 16, 48
 HIDDEN, GATE = 16, 8
 _SYMBOLS = "%&$#*@^~<>{}[]\\_=+"
 
@@ -252,7 +252,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = TRAINING_ROWS, la
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id")
         network = train([np.asarray(x).reshape(-1, FEATURES) for x in rows["x"]], rows["label"].tolist())
-        return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "size": [len(rows)], "ones": [int(rows["label"].sum())], "network": [pickle.dumps(network)]})
+        out = pd.DataFrame({"shard": [rows["shard"].iloc[0]], "size": [len(rows)], "ones": [int(rows["label"].sum())], "network": [pickle.dumps(network)]})
+        give_back()
+        return out
 
     sample = _measured(training_rows(docs, labels, label, max_rows).withColumn("doc_id", F.col("doc_id").cast("bigint")))
     dealt = sample.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))

@@ -6,6 +6,8 @@ compares the size with ``spark.sql.autoBroadcastJoinThreshold``, again at run ti
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,71 +18,68 @@ def lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return df.join(table, key, "left")
 
 
-def _numeric(columns: list[Column], types: list[T.DataType]) -> tuple[str, list[Column]]:
-    """Columns as numbers in the order in which Spark compares them: long, or double as soon as one has fractions."""
-    if all(isinstance(t, T.IntegralType) for t in types):
-        return "long", [c.cast("long") for c in columns]
-    if all(isinstance(t, (T.DateType, T.TimestampType)) for t in types):
-        return "long", [F.unix_micros(c.cast("timestamp")) for c in columns]
-    if all(isinstance(t, T.NumericType) for t in types):
-        return "double", [c.cast("double") for c in columns]
-    raise TypeError(f"numbers, dates and timestamps have an order that can be bucketed, not {[t.simpleString() for t in types]}")
+def _ordered(c: Column, kind: T.DataType) -> Column:
+    """A column as a double that never falls where the column, in the order in which Spark compares it, doesn't; zero has one sign."""
+    return (F.unix_micros(c.cast("timestamp")) if isinstance(kind, (T.DateType, T.TimestampType)) else c).cast("double") + F.lit(0.0)
 
 
-#: Level of intervals too long for any other: one bucket, or two of whole numbers, holds all values.
-_TOP = {"long": 63, "double": 1024}
+#: Rows that a cell of the range join holds on average; few rows make FEW_CELLS smaller ones, so that tasks share the intervals.
+CELL_ROWS, FEW_CELLS, MOST_CELLS = 1024, 256, 50_000
+#: Rows of the sample for each cell.
+PICKED_FROM = 8
+#: Intervals times cells from which on a range join sorts both sides, as an estimate before the run doesn't see how often they are listed.
+LISTED_ROWS = 1_000_000
 
 
-def _level(length: Column, kind: str) -> Column:
-    """The least power of two, by its exponent, that is greater than a length; read off its digits, so it is exact."""
-    if kind == "long":
-        exponent = F.when(length == 0, 0).otherwise(F.length(F.bin(length)))
-    else:  # as 0x1.8p3; a subnormal number is 0x0.8p-1022
-        exponent = F.regexp_extract(F.format_string("%a", length), "p(-?[0-9]+)$", 1).try_cast("int") + 1
-    return F.least(F.coalesce(exponent, F.lit(_TOP[kind])), F.lit(_TOP[kind])).cast("int")
+def _cuts(values: DataFrame) -> list[float]:
+    """Where the cells of doubles end, so that each has about as many rows; a value of more rows than that has its own cell."""
+    rows = values.count()
+    cells = min(MOST_CELLS, max(rows // CELL_ROWS, min(rows, FEW_CELLS)))
+    if cells < 2:
+        return []
+    picked = values.sample(min(1.0, cells * PICKED_FROM / rows), seed=7).toPandas().iloc[:, 0].to_numpy()
+    picked = np.sort(picked[~np.isnan(picked)])
+    picked = picked[:: max(1, len(picked) // cells)]
+    cuts, times = np.unique(picked, return_counts=True)
+    cuts = np.unique(np.concatenate([cuts, np.nextafter(cuts[times > 1], np.inf)]))
+    return cuts[np.isfinite(cuts)].tolist()
 
 
-def _bucket(value: Column, level: int, kind: str) -> Column:
-    """Number of the bucket of width two to the level. It never falls as the value grows, also where a double can't hold the quotient."""
-    if kind == "long":
-        return F.shiftright(value, level)
-    return F.lit(0).cast("long") if level >= _TOP[kind] else F.floor(value / F.lit(2.0**level))
+def _cell(df: DataFrame, value: Column, cuts: list[float], name: str) -> DataFrame:
+    """df with the number of the cell of a double; null for null, and NaN lies above all cells, as Spark compares it."""
+    if not cuts:
+        return df.withColumn(name, F.when(value.isNotNull(), 0))
+    search = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol=name, outputCol=f"{name}_found", handleInvalid="keep")
+    found = search.transform(df.withColumn(name, F.coalesce(value, F.lit(0.0))))
+    return found.withColumn(name, F.when(value.isNotNull(), F.col(f"{name}_found").cast("int"))).drop(f"{name}_found")
 
 
 def range_lookup(df: DataFrame, value: Column, intervals: DataFrame, start: str, end: str) -> DataFrame:
     """Left range join: every interval with start <= value <= end, inclusive; nulls where there is none.
 
-    An interval belongs to the level of the smallest power of two above its length, so it touches at most two
-    neighbouring buckets of that width, and nothing between them. Whole numbers take their level from the bit length and
-    their bucket from a shift; a length beyond a long takes the level whose buckets are the negative numbers and the others.
-    Numbers with fractions take the level from the exponent. Bucketing only proposes: the comparison itself is of the columns as they are.
-
-    If all intervals are of one level, rows meet them by one equi-join. Else the distinct values are
-    looked up once in each level that occurs, and the rows then join what their value has found. So there is
-    never a nested loop. Planning reads the levels that occur: a few dozen small numbers at most.
+    The values are cut into cells of about as many rows each, the cuts being picked from a sample of them. A row lies in one
+    cell, an interval is listed in every cell from that of its start to that of its end, and one equi-join on the cell takes all.
+    So a row is shuffled once, a match never. An interval is listed beyond its first and last cell only in cells whose rows all match it,
+    and a row meets no other intervals in vain than those that start or end in its own cell. So there is never a nested
+    loop. Cells only propose: the comparison itself is of the columns as they are. Planning counts the values and reads
+    the sample, PICKED_FROM numbers a cell.
 
     Intervals that are null or end before they start match nothing. Values and bounds are numbers, dates or timestamps.
     """
     types = [df.select(value).schema[0].dataType, intervals.schema[start].dataType, intervals.schema[end].dataType]
-    kind, (v, lo, hi) = _numeric([F.col("_value"), F.col(start), F.col(end)], types)
-    length = F.try_subtract(hi, lo) if kind == "long" else hi - lo
-    valid = intervals.filter(F.col(start) <= F.col(end)).withColumn("_level", _level(length, kind))
-    levels = sorted(valid.agg(F.collect_set("_level")).first()[0])
-
-    def by_level(c: Column) -> Column:
-        return F.coalesce(*[F.when(F.col("_level") == n, _bucket(c, n, kind)) for n in levels]) if levels else F.lit(0).cast("long")
-
-    listed = valid.withColumn("_bucket", F.explode(F.array_distinct(F.array(by_level(lo), by_level(hi)))))
+    if not (all(isinstance(t, T.NumericType) for t in types) or all(isinstance(t, (T.DateType, T.TimestampType)) for t in types)):
+        raise TypeError(f"numbers, dates and timestamps have an order that can be bucketed, not {[t.simpleString() for t in types]}")
+    v, lo, hi = (_ordered(F.col(c), t) for c, t in zip(("_value", start, end), types, strict=True))
+    rows, valid = df.withColumn("_value", value), intervals.filter(F.col(start) <= F.col(end))
+    cuts = _cuts(rows.select(v.alias("_value")).filter("_value IS NOT NULL"))
+    ends = _cell(_cell(valid, lo, cuts, "_first"), hi, cuts, "_last")
+    listed = ends.withColumn("_cell", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+    few = LISTED_ROWS // (len(cuts) + 2)
+    if valid.limit(few + 1).count() > few:
+        listed = listed.hint("merge")
     inside = F.col("_value").between(F.col(start), F.col(end))
-    rows = df.withColumn("_value", value)
-    if len(levels) < 2:
-        own = rows.withColumn("_own", _bucket(v, levels[0], kind) if levels else F.lit(0).cast("long"))
-        found = own.join(listed.drop("_level"), (F.col("_own") == F.col("_bucket")) & inside, "left")
-        return found.drop("_value", "_own", "_bucket")
-    asked = rows.select("_value").filter("_value IS NOT NULL").distinct()
-    asked = asked.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels])))
-    found = asked.withColumn("_bucket", by_level(v)).join(listed, ["_level", "_bucket"]).filter(inside)
-    return rows.join(found.drop("_level", "_bucket"), "_value", "left").drop("_value")
+    found = _cell(rows, v, cuts, "_own").join(listed, (F.col("_own") == F.col("_cell")) & inside, "left")
+    return found.drop("_value", "_own", "_cell")
 
 
 def present_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from countypanel.operators import joins, quality, reshape
 from countypanel.operators.quality import Check
 from countypanel.plans import analysis, metrics, raw
 from countypanel.sources import json_matrix
-from tests.helpers import frame, values
+from tests.helpers import frame, plan, values
 
 NUMBERS = [
     "1", "01", "-1", "+2.5", " 3 ", "1e3", "1E-2", ".5", "5.", "", " ", "N/A", "(D)", "-", "1,000", "1_000", "1 2",
@@ -95,6 +96,39 @@ def test_range_lookup_of_fractions_at_every_scale(spark):
     assert _found(spark, "double", points, spans) == _listed(points, spans)
 
 
+def test_range_lookup_across_cells_with_repeats_nulls_and_nan(spark):
+    nan, inf = float("nan"), float("inf")
+    points = [*range(0, 3000, 7), *[500.5] * 900, *[-0.0, 0.0] * 3, None, None, nan, inf, -inf]
+    points = [p if p is None else float(p) for p in points]
+    spans = [(0.0, 0.0), (-0.0, -0.0), (500.5, 500.5), (500.25, 501.0), (-inf, inf), (nan, nan), (2.0, nan), (2999.0, inf), (9.0, 8.0), (None, 5.0), (1.0, None)]
+    spans += [(7.0 * i, 7.0 * i + 2.0 ** (i % 12)) for i in range(0, 400, 9)]
+
+    def below(a, b):  # as Spark compares: NaN above all
+        return b != b or a == a and a <= b
+
+    want = []
+    for p in points:
+        hits = [s for s in spans if None not in (p, *s) and below(s[0], s[1]) and below(s[0], p) and below(p, s[1])]
+        want += [(p, *s) for s in hits or [(None, None)]]
+
+    def counted(rows):
+        return Counter(tuple("0.0" if x == 0 else repr(x) for x in r) for r in rows)
+
+    df = spark.createDataFrame([(p,) for p in points], "v double")
+    got = joins.range_lookup(df, F.col("v"), spark.createDataFrame(spans, "lo double, hi double"), "lo", "hi")
+    assert counted(tuple(r) for r in got.collect()) == counted(want)
+
+
+def test_range_lookup_joins_once_and_deals_the_values_of_wide_intervals_out(spark):
+    df = spark.range(40_000).selectExpr("if(id % 4 = 0, 77, id * id) as v")
+    intervals = spark.range(40).selectExpr("id", "id * 10 as lo", "id * 10 + if(id % 2 = 0, 3000000000, id) as hi")
+    got = joins.range_lookup(df, F.col("v"), intervals, "lo", "hi")
+    assert plan(got).count("Join") == 1 and "HashAggregate" not in plan(got)  # no value is looked up apart, no match joined again
+    cuts = joins._cuts(df.select(F.col("v").cast("double")))
+    cells = [r["count"] for r in joins._cell(df, F.col("v").cast("double"), cuts, "c").groupBy("c").count().collect()]
+    assert sorted(cells)[-1] - 10_000 < 1000 and sorted(cells)[-2] < 1000 and len(cells) > 100
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_fan_out_join_against_plain_left_join(spark, seed):
     rng = random.Random(seed)

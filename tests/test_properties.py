@@ -129,6 +129,15 @@ def test_range_lookup_joins_once_and_deals_the_values_of_wide_intervals_out(spar
     assert sorted(cells)[-1] - 10_000 < 1000 and sorted(cells)[-2] < 1000 and len(cells) > 100
 
 
+def test_range_lookup_lists_no_value_once_per_width(spark):
+    df = spark.range(3000).selectExpr("id", "id / 64 as v")
+    intervals = spark.range(200).selectExpr("id as k", "id * 0.7D as lo", "id * 0.7D + pow(2D, -(id % 20)) * (1 + id % 3) as hi")
+    got = joins.range_lookup(df, F.col("v"), intervals, "lo", "hi")
+    want = df.join(intervals, F.col("v").between(F.col("lo"), F.col("hi")), "left")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert plan(got).count("Generate ") == 1  # of the intervals alone
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_fan_out_join_against_plain_left_join(spark, seed):
     rng = random.Random(seed)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from countypanel.llm.common import table, text_of
+from countypanel.llm.common import table, text_of, tidy
 
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 SIZE = 2048
@@ -125,14 +125,32 @@ _DEALT = _PIECES + ", ids binary, group int"
 _PACKED = _PIECES + ", sequence_id bigint, offset bigint"
 
 
+#: Rows that are taken out of a batch at a time, and bytes of ids that a task holds before it passes them on.
+ROWS, HELD_BYTES = 256, 2_000_000
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    for at in range(0, batch.num_rows, ROWS):
+        yield from zip(*[c.to_pylist() for c in batch.slice(at, ROWS).columns], strict=True)
+
+
+def _narrow(ids: np.ndarray) -> bytes:
+    """ids, two bytes each where they fit, else four; as little-endian numbers they sort alike."""
+    return ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes()
+
+
+def _wide(packed: bytes, length: int) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{len(packed) // length}")
+
+
 def _dealt(docs: DataFrame, encode: Callable[[], Callable[[str], np.ndarray]], size: int, end: int, groups: int) -> DataFrame:
     """Full pieces, and remainders with their ids, each with its group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, same = encode(), Counter()
+        rows, held = [], 0
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, text in _rows(batch):
                 ids = np.append(ids_of(text), end).astype("<u4")
                 n, whole = len(ids), len(ids) // size * size
                 key = doc, n, _crc(ids)
@@ -141,14 +159,15 @@ def _dealt(docs: DataFrame, encode: Callable[[], Callable[[str], np.ndarray]], s
                 group = int.from_bytes(digest) % groups
                 rows += [(doc, at, size, _crc(ids[at : at + size]), n, None, group) for at in range(0, whole, size)]
                 if whole < n:
-                    rows.append((doc, whole, n - whole, None, n, ids[whole:].tobytes(), group))
-                if len(rows) >= 4096:
+                    rows.append((doc, whole, n - whole, None, n, _narrow(ids[whole:]), group))
+                    held += len(rows[-1][5])
+                if len(rows) >= 4096 or held >= HELD_BYTES:
                     yield _batch(rows, _DEALT)
-                    rows = []
-            if rows:
-                yield _batch(rows, _DEALT)
+                    rows, held = [], 0
+        if rows:
+            yield _batch(rows, _DEALT)
 
-    return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(run, _DEALT)
+    return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(tidy(run), _DEALT)
 
 
 _TYPES = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
@@ -168,7 +187,7 @@ def pack_group(remainders: list[tuple], size: int) -> list[list[tuple[int, int,
 def _sequences(remainders: list[tuple], group: int, size: int) -> tuple[list[tuple], int]:
     """Rows of the packed pieces, and how many sequences there are."""
     rows, packed = [], pack_group(remainders, size)
-    whole = [np.frombuffer(r[5], "<u4") for r in remainders]
+    whole = [_wide(r[5], r[2]) for r in remainders]
     for number, pieces in enumerate(packed):
         offset = 0
         for at, first, n in pieces:
@@ -193,7 +212,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, remainders, sequences, out = None, [], 0, []
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for row in _rows(batch):
                 if remainders and (row[6] != group or row[5] is None):
                     rows, sequences = _sequences(remainders, group, size)
                     out += rows
@@ -215,7 +234,7 @@ def pack(
         if out:
             yield _batch(out, _PACKED)
 
-    return dealt.mapInArrow(run, _PACKED)
+    return dealt.mapInArrow(tidy(run), _PACKED)
 
 
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,3 +91,17 @@ def test_the_query_holds_the_ids_of_the_library(spark):
     library = Tokenizer.from_file(PATHS[0])
     ids = [(r.doc_id, [*e.ids, 1]) for r, e in zip(rows, library.encode_batch([r.text or "" for r in rows], add_special_tokens=False), strict=True)]
     check(op13_packing(spark, folder).collect(), ids, 2048)
+
+
+def test_ids_travel_in_two_bytes_where_they_fit(spark, documents):
+    data = documents([(i, "x" * (i % 3000)) for i in range(3000)]).coalesce(1)
+
+    def wide():  # every third text has ids beyond 16 bits
+        return lambda text: np.arange(len(text), dtype=np.uint32) + (70_000 if len(text) % 3 == 0 else 3)
+
+    dealt = packing._dealt(data, wide, 2048, 1, 2).filter("ids IS NOT NULL").selectExpr("length(ids) / length AS w", "doc_tokens", "length").collect()
+    assert {(r.doc_tokens - 1) % 3 == 0 and r.doc_tokens > 1 and r.length > 1 for r in dealt if r.w == 4} == {True}
+    assert {(r.doc_tokens - 1) % 3 == 0 and r.doc_tokens > 1 and r.length > 1 for r in dealt if r.w == 2} == {False}
+    check(pack(data, wide, group_docs=1500).collect(), [(i, [*wide()("x" * (i % 3000)).tolist(), 1]) for i in range(3000)], 2048)
+    (batch,) = data.select("doc_id", "text").toArrow().combine_chunks().to_batches()
+    assert list(packing._rows(batch)) == [(i, "x" * (i % 3000)) for i in range(3000)]

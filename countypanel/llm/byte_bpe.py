@@ -42,6 +42,9 @@ TEXT_CHARS = 2_000_000
 #: What a remembered word takes besides its characters and ids: two objects and its share of a table that is up to two thirds empty.
 ENTRY_BYTES = 49 + 33 + 160
 
+#: Bytes of remembered words in a task of the query, whose workers do nothing else; with less, words that a task has forgotten come again.
+KNOWN_BYTES = 150_000_000
+
 #: Position bits in a row's key and in the packed minimum.
 _BITS = 9
 #: The white space of the split pattern, which is not quite Python's.
@@ -305,4 +308,4 @@ def decode(ids: DataFrame, path: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, known_bytes=KNOWN_BYTES)

@@ -94,6 +94,17 @@ def test_what_is_remembered_is_bounded():
     assert len(own.known) + len(own.older) < 6000  # of 16,000 words
 
 
+def test_the_query_encodes_no_word_of_a_usual_task_twice(monkeypatch):
+    met = []
+    monkeypatch.setattr(byte_bpe.Codec, "_merge", lambda self, words: met.extend(words) or [b"\0\0"] * len(words))
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 12_000, byte_bpe.KNOWN_BYTES)
+    words = [" " + "".join(chr(97 + i // 26**k % 26) for k in range(4)) + "qxzjkv" for i in range(200_000)]
+    for _ in range(3):
+        for at in range(0, len(words), 20_000):
+            own.learn(set(words[at : at + 20_000]))
+    assert len(met) == len(set(met)) == len(words)
+
+
 def test_byte_bpe_of_an_empty_table_and_a_very_long_text(spark, documents):
     path = public_tokenizers.path(byte_bpe.RANKS)
     assert byte_bpe.encode(documents([(1, "a")]).limit(0), path, public_tokenizers.PATTERN).count() == 0

@@ -23,7 +23,8 @@ import hashlib
 import heapq
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 SQL_BYTES = 200
 #: Rows of all rounds of a query, each of some 24 bytes; grouping and joining them takes several times as much, within DuckDB's limit.
 BATCH_ROWS = 1_000_000
-#: Characters of texts whose pieces are looked up at a time.
-TEXT_CHARS = 2_000_000
+#: Characters of texts whose pieces are looked up at a time, and ids that are put in order at a time, but for longer texts.
+TEXT_CHARS, IDS = 2_000_000, 200_000
 #: What a remembered word takes besides its characters and ids: two objects and its share of a table that is up to two thirds empty.
 ENTRY_BYTES = 49 + 33 + 160
 
@@ -49,6 +50,9 @@ KNOWN_BYTES = 150_000_000
 _BITS = 9
 #: The white space of the split pattern, which is not quite Python's.
 _SPACES = "".join(map(chr, [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
+_OTHER_SPACES = _SPACES.replace(" ", "")
+#: Between the pieces of a text; no byte of UTF-8.
+CUT = b"\xff"
 
 # A row is one token: k = word << 9 | first byte, e = end byte, t = token id. Lower id means lower rank.
 _MERGE_ALL = f"""
@@ -127,25 +131,26 @@ class Codec:
         self.plain |= new
         return self.plain_text.findall(text)
 
-    def pieces(self, text: str) -> list[str]:
-        """text cut before each single space that stands between two other characters; no match crosses such a place."""
+    def cut(self, text: str) -> bytes:
+        """text in UTF-8 with CUT before each single space that stands between two other characters; no match crosses such a place."""
+        raw = text.encode()
+        if not _loose(text):
+            return raw.replace(b" ", CUT + b" ")
         parts = text.split(" ")
-        if _LOOSE.search(text) is None:
-            return parts[:1] + [" " + x for x in parts[1:]]
         out = parts[:1]
         for x in parts[1:]:
             if x and x[0] not in _SPACES and out[-1] and out[-1][-1] not in _SPACES:
                 out.append(" " + x)
             else:
                 out[-1] += " " + x
-        return out
+        return CUT.join([x.encode() for x in out])
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: Iterable[str]) -> None:
         """Makes self.known hold the packed ids of every one of pieces."""
         if self.held > self.known_bytes:  # what was used since the last time stays
             self.known, self.older, self.held = {}, self.known, 0
         known, older = self.known, self.older
-        fresh = pieces.difference(known)
+        fresh = set(filterfalse(known.__contains__, pieces))
         if older:
             again = fresh.intersection(older)
             fresh -= again
@@ -185,7 +190,7 @@ class Codec:
                 known[w] = ids
         self.held += held
         for x, words in found.items():
-            if len(words) > 1:
+            if len(words) != 1:
                 self._keep(x, b"".join([known[w] for w in words]))
 
     def _keep(self, piece: str, ids: bytes) -> None:
@@ -242,24 +247,66 @@ class Codec:
                     heapq.heappush(heap, (r, x, ends[ends[x]]))
         return [self.ranks[word[at : ends[at]]] for at in range(len(word)) if alive[at]]
 
-    def encode(self, texts: pa.Array) -> Iterator[list[int]]:
-        """The ids of each text; some TEXT_CHARS characters of them are taken out of the column at a time."""
+    def chunks(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of texts one after the other, and where those of each begin and end; some TEXT_CHARS characters of texts at a time.
+
+        Different pieces alone become Python objects; what is done for every piece and every id is done by arrays.
+        """
         sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < len(texts):
             end = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + TEXT_CHARS, "right"))
             end = max(start + 1, end)
-            held = [self.pieces(text) if text else [] for text in texts[start:end].to_pylist()]
-            self.learn(set().union(*held))
-            for pieces in held:
-                yield np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), self.packed).tolist()
+            flat, first, counts, offsets = self._looked_up(texts[start:end])
+            ends = np.concatenate([[0], np.cumsum(counts)])[offsets]
+            done, last = 0, end - start
+            while done < last:
+                to = max(done + 1, int(np.searchsorted(ends, ends[done] + IDS, "right")) - 1)
+                some = slice(offsets[done], offsets[to])
+                n = counts[some]
+                yield flat[np.repeat(first[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())], ends[done : to + 1] - ends[done]
+                done = to
             start = end
 
+    def _looked_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of the different pieces; for every piece of texts, where its ids begin among those and how many they are; where each text's pieces begin and end."""
+        held = pc.split_pattern(pa.array([self.cut(text) if text else b"" for text in texts.to_pylist()], pa.large_binary()), CUT)
+        offsets, coded = held.offsets.to_numpy(), held.values.dictionary_encode()
+        del held
+        pieces = coded.dictionary.cast(pa.large_string()).to_pylist()
+        at = coded.indices.to_numpy()
+        del coded
+        pa.default_memory_pool().release_unused()
+        self.learn(pieces)
+        packed = [self.known[x] for x in pieces]
+        counts = np.array(list(map(len, packed))) // self.packed.itemsize
+        return np.frombuffer(b"".join(packed), self.packed), (np.cumsum(counts) - counts)[at], counts[at], offsets
+
+    def encode(self, texts: pa.Array) -> Iterator[list[int]]:
+        """The ids of each text."""
+        for ids, ends in self.chunks(texts):
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                yield ids[a:b].tolist()
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_LOOSE = re.compile(f" [{_SPACES}]|[{_SPACES}] |^ | $")
+def _loose(text: str) -> bool:
+    """Whether a space stands at an end of the text or next to white space."""
+    if text[0] == " " or text[-1] == " " or "  " in text:
+        return True
+    return any(c in text and (" " + c in text or c + " " in text) for c in _OTHER_SPACES)
+
+
+def _joined(words: pa.Array, ids: np.ndarray, ends: np.ndarray, between: str) -> pa.Array:
+    """The words of the ids of each text, joined."""
+    lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), words.take(pa.array(ids)))
+    return pc.binary_join(lists, pa.scalar(between.encode(), words.type))
+
+
+def _sha256(texts: pa.Array) -> list[str]:
+    return [hashlib.sha256(x.as_buffer()).hexdigest() for x in texts]
 
 
 def encode(
@@ -275,19 +322,17 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here makes reference cycles, and looking for them among the words takes a quarter of the time
         own = Codec(path, pattern, batch_words, known_bytes)
+        names, tokens = pa.array([x.encode() for x in own.names], pa.large_binary()), pa.array(own.tokens, pa.large_binary())
         for batch in batches:
-            rows = []
-            for ids in own.encode(batch.column(1)):
-                listed = ",".join(map(own.names.__getitem__, ids))
-                raw = own.decode(ids)
-                rows.append((len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(raw).hexdigest(), ids if keep_ids else None))
-            cols = [batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
-                    pa.array([r[2] for r in rows], pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                cols.append(pa.array([r[3] for r in rows], pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(cols, names)
+            done = 0
+            for ids, ends in own.chunks(batch.column(1)):
+                counts = np.diff(ends)
+                cols = [batch.column(0).slice(done, len(counts)), pa.array(counts, pa.int64()),
+                        pa.array(_sha256(_joined(names, ids, ends, ",")), pa.string()), pa.array(_sha256(_joined(tokens, ids, ends, "")), pa.string())]
+                if keep_ids:
+                    cols.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids])
+                done += len(counts)
 
     return docs.select(F.col("doc_id").cast("bigint"), text_of()).mapInArrow(tidy(run), fields)
 

@@ -105,6 +105,31 @@ def test_the_query_encodes_no_word_of_a_usual_task_twice(monkeypatch):
     assert len(met) == len(set(met)) == len(words)
 
 
+def test_a_piece_that_comes_often_is_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, piece):
+            Counted.asked += 1
+            return super().__getitem__(piece)
+
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 1000, 1_000_000)
+    own.known = Counted()
+    texts = ["the same words again, " * 2000, None, "", "the same words"]
+    assert [own.decode(i).decode() for i in own.encode(pa.array(texts))] == [t or "" for t in texts]
+    assert Counted.asked < 100
+
+
+def test_texts_of_all_kinds_of_spaces_are_cut_where_the_pattern_cuts():
+    import random
+
+    rng = random.Random(8)
+    own = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN, 1000, 1_000_000)
+    texts = ["".join(rng.choices(" \n\t\0\r\x85\xa0\u2003\u3000\x1cab7'.é字", [9, *[1] * 16], k=rng.randrange(1, 30))) for _ in range(2000)]
+    for text, ids in zip(texts, own.encode(pa.array(texts)), strict=True):
+        assert ids == [i for w in own.any_text.findall(text) for i in own.by_heap(w.encode())], repr(text)
+
+
 def test_byte_bpe_of_an_empty_table_and_a_very_long_text(spark, documents):
     path = public_tokenizers.path(byte_bpe.RANKS)
     assert byte_bpe.encode(documents([(1, "a")]).limit(0), path, public_tokenizers.PATTERN).count() == 0
